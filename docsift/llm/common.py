@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -86,3 +87,9 @@ def crc_mod(column: Column, modulus: int) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of frames that are no longer used: its cleaner acts when the driver collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
