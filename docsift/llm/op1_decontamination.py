@@ -259,6 +259,26 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     return contamination(build_index(docs, terms), phrases)
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text") -> DataFrame:
+    """docs without the rows that have a test phrase; each block of rows is indexed and looked up where it is read."""
+    phrases, terms = phrase_blocks(benchmark, window)
+    names = None if terms is None else {w: k for k, w in enumerate(sorted(terms))}
+
+    def run(batches):
+        for batch in batches:
+            texts = encoded(batch.column(text_col))
+            clean = np.ones(len(texts), bool)
+            for lo, hi in blocks(texts, SEGMENT_BYTES):
+                segment = Segment(_segment(list(range(lo, hi)), texts[lo:hi], names))
+                for block in map(_opened, phrases):
+                    for hashes, _ in block.by_length:
+                        for _, starts in segment.exact(hashes):
+                            clean[lo + segment.document(starts)] = False
+            yield batch.filter(pa.array(clean))
+
+    return map_arrow(docs, run, docs.schema)
+
+
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 

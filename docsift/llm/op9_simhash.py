@@ -121,6 +121,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(of_class, "fp").select("doc_id", "fp", "component_id", "component_fp")
 
 
+def one_of_each(docs: DataFrame, width: int = SHINGLE, distance: int = DISTANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one row of each component, that of the smallest id (of equal ids, of the smallest text hash); of repeated rows one stays."""
+    own = "near_dedup_text_hash"
+    rows = docs.withColumn(own, F.xxhash64(text_col))
+    key = rows.select(F.xxhash64(id_col, own).alias("doc_id"), F.col(text_col).alias("text"))
+    found = near_duplicates(key, "doc_id", "text", width, distance).select("doc_id", "component_fp").withColumnRenamed("doc_id", "row_key")
+    named = rows.select(F.col(id_col).alias("id"), F.col(own).alias("h")).distinct().withColumn("row_key", F.xxhash64("id", "h"))
+    keepers = named.join(found.distinct(), "row_key").groupBy("component_fp").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "h")).alias("k"))
+    keepers = keepers.select(F.xxhash64("k.id", "k.h").alias("kept_key"))
+    picked = rows.withColumn("kept_key", F.xxhash64(id_col, own)).join(keepers, "kept_key", "left_semi")
+    return picked.dropDuplicates(["kept_key"]).select(docs.columns)
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
