@@ -18,9 +18,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_HEAD = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~].*)", re.S).fullmatch
+_HEAD = r"(?s)^(?P<head>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<rest>[!-/:-@\[-`{-~].*)$"
+_PIECE = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
+#: How a byte-level vocabulary writes bytes: printable Latin-1 as itself, the others from U+0100 on.
+_PRINTED = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+_SHOWN = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 #: Chunks that one worker remembers; the memo is emptied when full.
-MEMO_ENTRIES = 1_000_000
+MEMO_ENTRIES = 500_000
+#: Characters of text encoded at once.
+BLOCK_BYTES = 4 << 20
 
 
 def default_path() -> str:
@@ -36,6 +42,7 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
+        self._merge = self._tokenizer.model.tokenize
         self._reset()
 
     def _reset(self) -> None:
@@ -65,33 +72,24 @@ class Encoder:
         total = int(ends[-1]) if len(ends) else 0
         return self._ids[np.repeat(starts - (ends - lengths), lengths) + np.arange(total)], ends
 
-    def _learn(self, chunks: list[str]) -> None:
-        memo = self._memo
-        whole, split = [], []
-        parts: set[str] = set()
-        for c in chunks:
-            if m := _HEAD(c):
-                split.append(c)
-                parts.update(pair := m.groups())
-                split.extend(pair)
-            else:
-                whole.append(c)
-        whole.extend(parts.difference(memo, whole))
-        for at in range(0, len(whole), 8192):
-            some = whole[at : at + 8192]
-            found = [e.ids for e in self._tokenizer.encode_batch_fast(some, add_special_tokens=False)]
-            self._add(some, np.fromiter(chain.from_iterable(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)))
-        if split:
-            pairs = [x for i in range(0, len(split), 3) for x in split[i + 1 : i + 3]]
-            ids, ends = self._gather(np.fromiter(map(memo.__getitem__, pairs), np.int64, len(pairs)))
-            self._add(split[::3], ids, np.diff(ends[1::2], prepend=0))
-
     def _index(self, chunks: list[str]) -> np.ndarray:
         memo = self._memo
-        if missing := [c for c in chunks if c not in memo]:
-            self._learn(list(dict.fromkeys(missing)))
+        missing = list(dict.fromkeys(c for c in chunks if c not in memo))
+        for at in range(0, len(missing), 8192):
+            # letters alone are one piece: the model takes them as they are
+            alone, mixed = [], []
+            for c in missing[at : at + 8192]:
+                (alone if _PIECE(c) else mixed).append(c)
+            found = [[t.id for t in self._merge(c.encode().decode("latin-1").translate(_SHOWN))] for c in alone]
+            found += [e.ids for e in self._tokenizer.encode_batch_fast(mixed, add_special_tokens=False)]
+            self._add(alone + mixed, np.fromiter(chain.from_iterable(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)))
         return np.fromiter(map(memo.__getitem__, chunks), np.int64, len(chunks))
 
+    def _coded(self, words: pa.Array, space: str) -> np.ndarray:
+        """The index of each word, after a space where space is one."""
+        coded = words.dictionary_encode()
+        return self._index([space + w for w in coded.dictionary.to_pylist()])[coded.indices.to_numpy()]
+
     def encode(self, texts: list[str], end_id: int | None = 0) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts as unsigned 32-bit integers, each text closed by end_id unless it is None; text i has ids[bounds[i]:bounds[i + 1]]."""
         if self._known > MEMO_ENTRIES or self._used > 8 * MEMO_ENTRIES:
@@ -99,23 +97,28 @@ class Encoder:
         lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
         offsets = lists.offsets.to_numpy()
         coded = lists.flatten().dictionary_encode()
-        words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        trimmed = pc.utf8_trim_whitespace(coded.dictionary)
-        odd = pc.or_(pc.not_equal(trimmed, coded.dictionary), pc.equal(trimmed, "")).to_numpy(zero_copy_only=False)
-        index = np.zeros(len(words), np.int64)
-        index[~odd] = self._index([" " + w for w, o in zip(words, odd) if not o])
-        chunks = index[codes]
-        first = offsets[:-1]
-        chunks[first] = self._index([words[c] for c in codes[first]])
+        del lists
+        words, codes = coded.dictionary, coded.indices.to_numpy()
+        trimmed = pc.utf8_trim_whitespace(words)
+        odd = pc.or_(pc.not_equal(trimmed, words), pc.equal(trimmed, "")).to_numpy(zero_copy_only=False)
+        cut = pc.extract_regex(words, _HEAD)
+        whole = pc.is_null(cut)
+        heads = self._coded(pc.if_else(whole, words, pc.struct_field(cut, [0])), " ")
+        rests = self._coded(pc.if_else(whole, "", pc.struct_field(cut, [1])), "")
+        chunks = np.stack([heads, rests], axis=1)[codes]
+        first, empty = offsets[:-1], self._index([""])[0]
+        chunks[first, 0] = self._index(words.take(pa.array(codes[first])).to_pylist())
+        chunks[first, 1] = empty
+        counts = 2 * np.diff(offsets)
         uncut = np.flatnonzero(np.add.reduceat(odd[codes], first) > 0) if len(texts) else []
-        counts = np.diff(offsets)
+        chunks = chunks.ravel()
         if len(uncut):
             at, pieces = 0, []
             for i in uncut:
                 parts = _CUT.split(texts[i])
-                pieces.append(chunks[at : offsets[i]])
+                pieces.append(chunks[at : 2 * offsets[i]])
                 pieces.append(self._index([parts[0], *[" " + p for p in parts[1:]]]))
-                counts[i], at = len(parts), offsets[i + 1]
+                counts[i], at = len(parts), 2 * offsets[i + 1]
             chunks = np.concatenate([*pieces, chunks[at:]])
         ids, ends = self._gather(chunks)
         bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]

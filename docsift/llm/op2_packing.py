@@ -43,7 +43,7 @@ def _cutter(vocabulary: str, capacity: int, end_id: int):
         texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
         doc_ids = batch.column(0).to_pylist()
         out = ([], [], [], [], [])
-        for lo, hi in blocks(texts):
+        for lo, hi in blocks(texts, bpe.BLOCK_BYTES):
             ids, bounds = bpe.encoder(vocabulary).encode(texts[lo:hi], end_id)
             for k in range(hi - lo):
                 at = int(bounds[k])

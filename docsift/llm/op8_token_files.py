@@ -51,7 +51,7 @@ def _writer(folder: str, vocabulary: str, dtype: str, end_id: int):
             nulls += ids.null_count
             outs["doc"].write(ids.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes())
             texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
-            for lo, hi in blocks(texts):
+            for lo, hi in blocks(texts, bpe.BLOCK_BYTES):
                 tokens, ends = bpe.encoder(vocabulary).encode(texts[lo:hi], end_id)
                 outs["ids"].write(tokens.astype(dtype).tobytes())
                 bounds.append((ends[1:] + total).astype("<u8"))
