@@ -28,8 +28,7 @@ SHAPES = (
 
 
 def _month(c: Column) -> Column:
-    low = F.lower(c)
-    named = F.coalesce(*[F.when(low.isin(m, m[:3]), F.lit(str(k))) for k, m in enumerate(_MONTHS, 1)])
+    named = F.coalesce(*[F.when(c.isin(m, m[:3]), F.lit(str(k))) for k, m in enumerate(_MONTHS, 1)])
     return F.when(c.rlike(r"^\d+$"), c).otherwise(named)
 
 
@@ -38,18 +37,34 @@ def _year(c: Column) -> Column:
     return F.when(two & (c.try_cast("int") >= 69), F.concat(F.lit("19"), c)).when(two, F.concat(F.lit("20"), c)).otherwise(c)
 
 
-def _shaped(text: Column, pattern: str, year: int, month: int, day: int) -> Column:
-    part = lambda k: F.regexp_extract(text, pattern, k)
-    joined = F.concat_ws("-", _year(part(year)), _month(part(month)), part(day) if day else F.lit("1"))
-    return F.when(text.rlike(pattern), F.date_format(F.try_to_timestamp(joined, F.lit("yyyy-M-d")), "yyyy-MM-dd"))
+def _bound(value: Column, use) -> Column:
+    """use(value) with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))
 
 
-def normalise_iso_date(c: Column) -> Column:
-    """ISO date of a printed date, else empty. A text of ISO shape that is no date is empty at once."""
-    text = clean_text(c)
+def _parts(text: Column) -> Column:
+    """struct(y, m, d) of the shape that fits; shapes exclude one another."""
+    pick = []
+    for pattern, *places in SHAPES:
+        values = [F.regexp_extract(text, pattern, k) if k else F.lit("1") for k in places]
+        pick.append(F.when(text.rlike(pattern), F.struct(*[v.alias(n) for v, n in zip(values, "ymd")])))
+    return F.coalesce(*pick)
+
+
+def _iso(text: Column) -> Column:
+    joined = lambda p: F.concat_ws("-", _year(p["y"]), _bound(F.lower(p["m"]), _month), p["d"])
+    parsed = lambda p: F.date_format(F.try_to_timestamp(joined(p), F.lit("yyyy-M-d")), "yyyy-MM-dd")
+    return _bound(_parts(text), lambda p: F.when(p.isNotNull() & _bound(F.lower(p["m"]), _month).isNotNull(), parsed(p)))
+
+
+def _unlabelled(text: Column) -> Column:
     plain = F.regexp_replace(F.trim(F.regexp_replace(text, vocab.DATE_LABEL, "")), r"[.,;]+$", "")
-    iso = text.rlike(r"^\d{4}-\d{2}-\d{2}$")
-    return F.coalesce(F.when(iso, _shaped(text, *SHAPES[0])).otherwise(F.coalesce(*[_shaped(plain, *s) for s in SHAPES])), F.lit(""))
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text).otherwise(plain)
+
+
+def normalise_iso_date(c: Column) -> Column:
+    """ISO date of a printed date, else empty. A text of ISO shape that is no date is empty."""
+    return F.coalesce(_bound(clean_text(c), lambda t: _bound(_unlabelled(t), _iso)), F.lit(""))
 
 
 def extract_dates(text: Column) -> Column:

@@ -87,7 +87,7 @@ def auth_gate(status: Column, content: Column, final_url: Column) -> Column:
     return (
         F.when(status.isin(401, 407), F.concat(F.lit("http_"), status.cast("string")))
         .when(~sniff_kind(content).isin("html", ""), F.lit(""))
-        .otherwise(F.coalesce(first_of(_body(content), vocab.AUTH_MARKERS), F.concat(F.lit("redirected_to_"), F.trim(F.lit("/"), fragment)), F.lit("")))
+        .otherwise(F.coalesce(first_of(_body(content), vocab.AUTH_MARKERS), F.concat(F.lit("redirected_to_"), F.trim(fragment, F.lit("/"))), F.lit("")))
     )
 
 

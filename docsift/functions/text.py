@@ -59,7 +59,7 @@ def format_bool_yn(c: Column) -> Column:
 
 
 def split_pipe(c: Column) -> Column:
-    return F.filter(F.transform(F.split(c, r"\|"), F.trim), lambda p: p != "")
+    return F.filter(F.transform(F.split(c, r"\|"), lambda p: F.trim(p)), lambda p: p != "")
 
 
 def normalise_multi_enum(c: Column, allowed: Sequence[str]) -> Column:
@@ -84,7 +84,7 @@ def split_list(c: Column) -> Column:
     """A list cell: by pipes if it has one, else by commas."""
     text = clean_text(c)
     parts = F.when(F.contains(text, F.lit("|")), F.split(text, r"\|")).otherwise(F.split(text, ","))
-    return F.filter(F.transform(parts, F.trim), lambda p: p != "")
+    return F.filter(F.transform(parts, lambda p: F.trim(p)), lambda p: p != "")
 
 
 def trim_label(c: Column, limit: int = 40) -> Column:
