@@ -31,10 +31,19 @@ def charset(header: Column) -> Column:
     return F.lower(F.trim(F.regexp_extract(F.coalesce(header, F.lit("")), r'(?i);\s*charset\s*=\s*"?([^";]*)', 1)))
 
 
+#: Bytes 128 to 159 as Windows-1252 reads them, where it does.
+_C1 = "".join(chr(b) for b in range(128, 160) if bytes([b]).decode("cp1252", "ignore"))
+_WESTERN = "".join(bytes([ord(c)]).decode("cp1252") for c in _C1)
+
+
+def _western(content: Column) -> Column:
+    return F.translate(F.decode(content, "ISO-8859-1"), _C1, _WESTERN)
+
+
 def decode_text(content: Column, declared: Column | None = None) -> Column:
     """Text by the declared charset where it is a single-byte one, else UTF-8 where valid, else Windows-1252."""
     utf8 = F.try_validate_utf8(content.cast("string"))
-    western = F.decode(content, "windows-1252")
+    western = _western(content)
     text = F.coalesce(utf8, western, F.lit(""))
     if declared is None:
         return text

@@ -80,7 +80,10 @@ def tier_name(c: Column) -> Column:
 
 def collapse_components(rows: DataFrame, store: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Tiers 1 to 3: the winner of each component."""
-    return _collapse(components(rows, store), "component", tier_name(F.col("component_tier")))
+    placed = components(rows, store)
+    if "dropped_urls" in rows.columns:  # what the dropped rows had dropped before counts for the survivor
+        placed = placed.withColumn("dropped_urls", F.sum("dropped_urls").over(Window.partitionBy("component")))
+    return _collapse(placed, "component", tier_name(F.col("component_tier")))
 
 
 def dedupe(rows: DataFrame, store: Callable[[DataFrame], DataFrame]) -> DataFrame:

@@ -492,7 +492,7 @@ def d7(spark, sf_dir):
 
 _FINAL = (
     "c AS (SELECT k.*, coalesce(component, k.seq) AS component, CASE t WHEN 0 THEN 'content_hash' WHEN 1 THEN 'policy_number' WHEN 2 THEN 'title' END AS tier FROM k LEFT JOIN comp USING (seq) LEFT JOIN strong USING (component)), "
-    f"c2 AS (SELECT *, row_number() OVER (PARTITION BY component ORDER BY {d.WINNER}) AS p2, count(*) OVER (PARTITION BY component) AS n2 FROM c), "
+    f"c2 AS (SELECT c.* REPLACE (CAST(sum(dropped_urls) OVER (PARTITION BY component) AS BIGINT) AS dropped_urls), row_number() OVER (PARTITION BY component ORDER BY {d.WINNER}) AS p2, count(*) OVER (PARTITION BY component) AS n2 FROM c), "
     "e2 AS (SELECT component, arg_min(document_url, seq) AS example2 FROM c2 WHERE p2 > 1 GROUP BY component), "
     f"kept AS (SELECT c2.* REPLACE (CASE WHEN n2 > 1 THEN {_NOTE('n2', 'tier', 'example2')} ELSE notes END AS notes), n2 - 1 AS n_dropped FROM c2 LEFT JOIN e2 USING (component) WHERE p2 = 1)"
 )
