@@ -143,10 +143,11 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     return Model(np.stack([np.frombuffer(bytes(r["x"]), np.float32) for r in got]), [r["lang"] for r in got])
 
 
-def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
-    """All columns of docs, with lang_pred and score."""
-    names = docs.columns
-    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+def predict(docs: DataFrame, model: Model | None, text_col: str = "text", lang_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
+    """All columns of docs, with a prediction and its score; columns that have these two names are replaced."""
+    rows = docs.drop(lang_col, score_col)
+    names = [*rows.columns, lang_col, score_col]
+    schema = T.StructType([*rows.schema.fields, T.StructField(lang_col, T.StringType()), T.StructField(score_col, T.DoubleType())])
 
     def run(batch):
         texts = batch.column(text_col).to_pylist()
@@ -156,9 +157,9 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> Dat
             part = at[lo : lo + 1024]
             for i, lang, score in zip(part, *model.predict(np.stack([features(texts[i]) for i in part]))):
                 langs[i], scores[i] = lang, float(score)
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs), pa.array(scores)], names=[*names, "lang_pred", "score"])
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs), pa.array(scores)], names=names)
 
-    return map_arrow(docs, per_batch(run), schema)
+    return map_arrow(rows, per_batch(run), schema)
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
