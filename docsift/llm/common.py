@@ -93,3 +93,11 @@ def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of frames that are no longer used: its cleaner acts when the driver collects garbage."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a stored table that nothing reads any more."""
+    spark = table.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

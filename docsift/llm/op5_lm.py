@@ -27,21 +27,22 @@ columns are ignored.
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsift.llm.common import LOWER, blocks, crc_mod, encoded, map_arrow, per_batch, stored, table
+from docsift.llm.common import LOWER, blocks, crc_mod, discard, encoded, map_arrow, per_batch, release, stored, table
 
 STATES, TOP, TAILS = 8, 4000, 1024
 CLASSES = TOP + TAILS
 RUN = 64
 #: Rounds over the bounded sample on the driver, its documents and tokens, and rounds over all documents.
 FIRST_ROUNDS, SAMPLE_DOCS, SAMPLE_TOKENS, ROUNDS = 15, 1500, 300_000, 2
-SEGMENT_BYTES, SEGMENT_WORDS, BLOCK = 24 << 20, 400_000, 4 << 20
+SEGMENT_BYTES, SEGMENT_WORDS, BLOCK = 16 << 20, 400_000, 2 << 20
 END = b""
 
 
@@ -58,7 +59,7 @@ def _unplaned(data: bytes, width: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(f"<u{width}").ravel()
 
 
-SEGMENTS = "seg long, doc_ids array<long>, held array<boolean>, lengths array<long>, codes binary, words array<binary>, counts array<long>"
+SEGMENTS = "seg long, documents binary, words array<binary>, counts array<long>"
 
 
 def _segments(batches):
@@ -71,8 +72,9 @@ def _segments(batches):
         flat = np.concatenate(codes)
         trains = np.repeat(~np.array(held), lengths)
         counts = np.bincount(flat[trains], minlength=len(names))
-        values = {"seg": number, "doc_ids": ids, "held": held, "lengths": lengths, "codes": _planes(flat, 4), "words": list(names), "counts": counts}
-        kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64()))
+        documents = pickle.dumps((ids, held, np.array(lengths, np.int64), _planes(flat, 4)))
+        values = {"seg": number, "documents": documents, "words": list(names), "counts": counts}
+        kinds = (pa.int64(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64()))
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values.values(), kinds)], names=list(values))
 
     for batch in batches:
@@ -82,7 +84,7 @@ def _segments(batches):
             flat = [w for part in lists for w in part]
             for w in set(flat).difference(names):
                 names[w] = len(names)
-            codes.append(np.fromiter(map(names.__getitem__, flat), np.int64, len(flat)).astype(np.int32))
+            codes.append(np.fromiter(map(names.__getitem__, flat), np.int32, len(flat)))
             ids += batch_ids[lo:hi]
             held += batch_held[lo:hi]
             lengths += map(len, lists)
@@ -110,7 +112,7 @@ def _class_of(top: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def count_words(segments: DataFrame) -> tuple[DataFrame, DataFrame, Lexicon]:
-    """Training counts of all words (stored), the most frequent words with their classes, and class totals."""
+    """Training counts of all words (stored), the most frequent words with their places, and class totals."""
     pairs = segments.select(F.explode(F.arrays_zip("words", "counts")).alias("p")).select(F.col("p.words").alias("word"), F.col("p.counts").alias("n"))
     counts = stored(pairs.where("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "word-counts")
     spark = segments.sparkSession
@@ -127,41 +129,54 @@ SEQUENCES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_sc
 
 
 def sequences(segments: DataFrame, counts: DataFrame, top: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """A row per document: base score, log10 probabilities within classes, and its classes in order."""
-    words = segments.select("seg", F.posexplode("words").alias("at", "word"))
-    joined = _class_of(top, words.join(counts, "word", "left")).select("seg", F.struct("at", F.coalesce("c", F.lit(0)).alias("c"), "class").alias("w"))
-    dictionaries = joined.groupBy("seg").agg(F.collect_list("w").alias("w"))
-    dictionaries = dictionaries.select("seg", F.col("w.at").alias("at"), F.col("w.c").alias("c"), F.col("w.class").alias("class"))
-    rows = segments.select("seg", "doc_ids", "held", "lengths", "codes").join(dictionaries, "seg")
+    """A row per document: base score, log10 probabilities within classes, and its classes in order.
+
+    Each segment meets the counts of its words in one partition, in order: first the
+    counts, row by row, then its documents; nothing is collected into long arrays.
+    """
+    words = segments.select("seg", F.posexplode("words").alias("at", "word")).join(counts, "word", "left")
+    nothing = F.lit(None).cast("binary").alias("documents")
+    known = _class_of(top, words).select("seg", F.lit(0).alias("kind"), "at", F.coalesce("c", F.lit(0)).cast("long").alias("c"), "class", nothing)
+    held = segments.select("seg", F.lit(1).alias("kind"), F.lit(0).alias("at"), F.lit(0).cast("long").alias("c"), F.lit(0).alias("class"), "documents")
+    shards = max(1, int(segments.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = known.unionByName(held).repartition(shards, "seg").sortWithinPartitions("seg", "kind")
     class_n, class_v, n, v = lexicon.class_n, lexicon.class_v, lexicon.n, lexicon.v
 
+    def coded(documents: bytes, words: list[tuple[np.ndarray, ...]]):
+        ids, held, lengths, codes = pickle.loads(documents)
+        at, c_of, kind_of = (np.concatenate(x) for x in zip(*words))
+        codes, c, kind = _unplaned(codes, 4), np.empty(len(at)), np.empty(len(at), np.int64)
+        c[at], kind[at] = c_of, kind_of
+        base = np.log10((c + 1) / (n + v + 1))
+        within = np.where(kind < TOP, 0.0, np.log10((c + 1) / (class_n[kind] + class_v[kind] + 1)))
+        ends = np.cumsum(lengths)
+        for lo in range(0, len(lengths), 2000):
+            hi = min(lo + 2000, len(lengths))
+            first = int(ends[lo] - lengths[lo])
+            part = codes[first : int(ends[hi - 1])]
+            starts = ends[lo:hi] - lengths[lo:hi] - first
+            own = kind[part].astype("<u2")
+            columns = [
+                pa.array(ids[lo:hi], pa.int64()),
+                pa.array(held[lo:hi], pa.bool_()),
+                pa.array(lengths[lo:hi]),
+                pa.array(np.add.reduceat((c[part] > 0).astype(np.int64), starts)),
+                pa.array(np.add.reduceat(base[part], starts)),
+                pa.array(np.add.reduceat(within[part], starts)),
+                pa.array([_planes(own[s : s + m], 2) for s, m in zip(starts, lengths[lo:hi])], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "within", "classes"])
+
     def run(batches):
+        words = []
         for batch in batches:
-            for k in range(batch.num_rows):
-                value = lambda name: batch.column(batch.schema.get_field_index(name))[k].values.to_numpy(zero_copy_only=False)  # noqa: E731,B023
-                at, c, kind = value("at"), np.empty(len(value("at"))), np.empty(len(value("at")), np.int64)
-                c[at], kind[at] = value("c"), value("class")
-                base = np.log10((c + 1) / (n + v + 1))
-                within = np.where(kind < TOP, 0.0, np.log10((c + 1) / (class_n[kind] + class_v[kind] + 1)))
-                lengths = value("lengths")
-                codes = _unplaned(batch.column(batch.schema.get_field_index("codes"))[k].as_py(), 4)
-                ends = np.cumsum(lengths)
-                for lo in range(0, len(lengths), 2000):
-                    hi = min(lo + 2000, len(lengths))
-                    first = int(ends[lo] - lengths[lo])
-                    part = codes[first : int(ends[hi - 1])]
-                    starts = ends[lo:hi] - lengths[lo:hi] - first
-                    own = kind[part].astype("<u2")
-                    columns = [
-                        batch.column(batch.schema.get_field_index("doc_ids"))[k].values[lo:hi],
-                        batch.column(batch.schema.get_field_index("held"))[k].values[lo:hi],
-                        pa.array(lengths[lo:hi]),
-                        pa.array(np.add.reduceat((c[part] > 0).astype(np.int64), starts)),
-                        pa.array(np.add.reduceat(base[part], starts)),
-                        pa.array(np.add.reduceat(within[part], starts)),
-                        pa.array([_planes(own[s : s + m], 2) for s, m in zip(starts, lengths[lo:hi])], pa.binary()),
-                    ]
-                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "within", "classes"])
+            start = 0
+            columns = [batch.column(name).to_numpy() for name in ("at", "c", "class")]
+            for k in np.flatnonzero(batch.column("kind").to_numpy() == 1).tolist():
+                words.append(tuple(x[start:k].copy() for x in columns))
+                yield from coded(batch.column("documents")[k].as_py(), words)
+                words, start = [], k + 1
+            words.append(tuple(x[start:].copy() for x in columns))
 
     return map_arrow(rows, run, SEQUENCES)
 
@@ -313,7 +328,11 @@ def language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), (crc_mod(F.col(id_col), 7) == 2).alias("held"))
     segments = stored(map_arrow(rows, _segments, SEGMENTS), "segments")
     counts, top, lexicon = count_words(segments)
+    release(docs.sparkSession)
     coded = stored(sequences(segments, counts, top, lexicon), "sequences")
+    discard(segments)
+    discard(counts)
+    release(docs.sparkSession)
     return coded, train(coded, lexicon), lexicon
 
 
