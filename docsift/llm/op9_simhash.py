@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsift.llm.common import LOWER, encoded, map_arrow, per_batch, stored, table
+from docsift.llm.common import LOWER, encoded, map_arrow, per_batch, release, stored, table
 from docsift.operators.components import connected_components
 
 SHINGLE, DISTANCE = 3, 3
@@ -121,17 +121,120 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(of_class, "fp").select("doc_id", "fp", "component_id", "component_fp")
 
 
-def one_of_each(docs: DataFrame, width: int = SHINGLE, distance: int = DISTANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row of each component, that of the smallest id (of equal ids, of the smallest text hash); of repeated rows one stays."""
-    own = "near_dedup_text_hash"
-    rows = docs.withColumn(own, F.xxhash64(text_col))
-    key = rows.select(F.xxhash64(id_col, own).alias("doc_id"), F.col(text_col).alias("text"))
-    found = near_duplicates(key, "doc_id", "text", width, distance).select("doc_id", "component_fp").withColumnRenamed("doc_id", "row_key")
-    named = rows.select(F.col(id_col).alias("id"), F.col(own).alias("h")).distinct().withColumn("row_key", F.xxhash64("id", "h"))
-    keepers = named.join(found.distinct(), "row_key").groupBy("component_fp").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "h")).alias("k"))
-    keepers = keepers.select(F.xxhash64("k.id", "k.h").alias("kept_key"))
-    picked = rows.withColumn("kept_key", F.xxhash64(id_col, own)).join(keepers, "kept_key", "left_semi")
-    return picked.dropDuplicates(["kept_key"]).select(docs.columns)
+# --- one document of each group of near copies ------------------------------------------------------------------------
+
+WORDS, SIMILARITY, PRINTS = 5, 0.8, 3
+
+
+def word_prints(text: bytes, prints: int = PRINTS) -> np.ndarray:
+    """Independent 64-bit SimHashes of a text's words, each weighing the root of its count; a few edited words turn few bits."""
+    words, counts = np.unique(np.array(text.translate(LOWER).split(), dtype=object), return_counts=True) if text.split() else ([], np.empty(0))
+    if not len(words):
+        return np.zeros(prints, np.uint64)
+    weights = np.sqrt(counts).astype(np.float32)
+    out = []
+    for seed in range(prints):
+        hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), "<u8", len(words))
+        total = np.zeros(64, np.float32)
+        for at in range(0, len(words), _BITS_AT_ONCE):
+            bits = np.unpackbits(hashes[at : at + _BITS_AT_ONCE].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            total += weights[at : at + _BITS_AT_ONCE] @ (2.0 * bits.astype(np.float32) - 1)
+        out.append(np.packbits(total > 0, bitorder="little").view("<u8")[0])
+    return np.array(out, np.uint64)
+
+
+def shingle_set(text: bytes, width: int = WORDS) -> np.ndarray:
+    """Sorted distinct hashes of a text's word shingles (fewer words: the whole sequence)."""
+    words = text.translate(LOWER).split()
+    n = max(1, len(words) - width + 1)
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(b" ".join(words[i : i + width])) for i in range(n)), np.uint64, n))
+
+
+def _stars(batches):
+    """Rows sorted by key and node: each node of a key with the key's first node."""
+    key = first = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys, nodes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        new = np.concatenate([[key is None or keys[0] != key], keys[1:] != keys[:-1]])
+        group = np.cumsum(new) - (1 if new[0] else 0)
+        centres = np.concatenate([np.array([] if new[0] else [first], np.int64), nodes[new]])[group]
+        key, first = keys[-1], centres[-1]
+        off = nodes != centres
+        if off.any():
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[off]), pa.array(centres[off])], names=["src", "dst"])
+
+
+def _alike(similarity: float):
+    def run(batch):
+        keep = []
+        for a, b in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist()):
+            a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+            both = len(np.intersect1d(a, b, assume_unique=True))
+            keep.append(both >= similarity * (len(a) + len(b) - both))
+        return pa.RecordBatch.from_arrays([batch.column("src"), batch.column("dst")], names=["src", "dst"]).filter(pa.array(keep))
+
+    return per_batch(run)
+
+
+def near_copies(docs: DataFrame, text_col: str = "text", width: int = WORDS, similarity: float = SIMILARITY, prints: int = PRINTS) -> DataFrame:
+    """(node, root) for texts, by xxhash64, that are linked to others by shingle sets of at least this similarity.
+
+    Candidates come from deletion-variant signatures of several word prints: under each
+    variant every text meets the first text of that variant (a star, so a bucket of n
+    texts costs n tests, not all pairs).  Tests are exact, on whole shingle sets.  First
+    each text is tested against one candidate; pairs that this has joined need no more
+    tests, all others are tested.
+    """
+    spark = docs.sparkSession
+    texts = docs.select(F.xxhash64(text_col).alias("node"), F.col(text_col).alias("text"))
+
+    def signed(batch):
+        made = np.stack([word_prints(t, prints) for t in encoded(batch.column(1))]).view(np.int64)
+        return pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(made[:, k]) for k in range(prints)]], names=["node", *[f"p{k}" for k in range(prints)]])
+
+    signatures = map_arrow(texts, per_batch(signed), "node long, " + ", ".join(f"p{k} long" for k in range(prints)))
+    signatures = stored(signatures.groupBy("node").agg(*[F.first(f"p{k}").alias(f"p{k}") for k in range(prints)]), "word-prints")
+    each = signatures.select("node", F.posexplode(F.array(*[f"p{k}" for k in range(prints)])).alias("which", "fp"))
+    rows = each.select("node", "which", F.explode(F.array(F.lit(0), F.lit(1))).alias("seg"), "fp").withColumn("value", _segment(F.col("fp"), F.col("seg")))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(32))).alias("bit"))
+    key = "shiftleft(cast(which as bigint), 48) | shiftleft(cast(seg as bigint), 40) | shiftleft(cast(bit as bigint), 33) | if(bit = 32, value, value & ~shiftleft(1L, bit))"
+    shards = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    keyed = rows.select(F.expr(key).alias("key"), "node").repartition(shards, "key").sortWithinPartitions("key", "node")
+    edges = stored(map_arrow(keyed, _stars, "src long, dst long").distinct(), "candidates")
+    release(spark)
+    nodes = edges.select("src").union(edges.select("dst")).distinct().withColumnRenamed("src", "node")
+
+    def sets(batch):
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(t, width).tobytes() for t in encoded(batch.column(1))], pa.binary())], names=["node", "s"])
+
+    wanted = texts.join(nodes, "node", "left_semi").dropDuplicates(["node"])
+    shingles = stored(map_arrow(wanted, per_batch(sets), "node long, s binary"), "shingle-sets")
+    release(spark)
+
+    def tested(pairs):
+        sided = pairs.join(shingles.select(F.col("node").alias("src"), F.col("s").alias("sa")), "src").join(shingles.select(F.col("node").alias("dst"), F.col("s").alias("sb")), "dst")
+        return stored(map_arrow(sided.select("src", "dst", "sa", "sb"), _alike(similarity), "src long, dst long"), "alike")
+
+    one = edges.groupBy("src").agg(F.min("dst").alias("dst"))
+    alike = tested(one)
+    roots = stored(connected_components(alike, lambda df: stored(df, "links")), "roots")
+    left = edges.join(one, ["src", "dst"], "left_anti")
+    at = lambda name: roots.select(F.col("node").alias(name), F.col("root").alias(f"{name}_root"))
+    open_ = left.join(at("src"), "src", "left").join(at("dst"), "dst", "left").where(F.coalesce("src_root", "src") != F.coalesce("dst_root", "dst")).select("src", "dst")
+    return connected_components(alike.unionByName(tested(open_)), lambda df: stored(df, "links"))
+
+
+def one_of_each(docs: DataFrame, width: int = WORDS, similarity: float = SIMILARITY, prints: int = PRINTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one row of each group of near copies, that of the smallest id (of equal ids, of the smallest text hash); of repeated rows one stays."""
+    roots = near_copies(docs, text_col, width, similarity, prints)
+    named = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("node")).distinct()
+    placed = named.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    keepers = placed.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "node")).alias("k"))
+    keepers = keepers.select(F.xxhash64("k.id", "k.node").alias("near_dedup_key"))
+    picked = docs.withColumn("near_dedup_key", F.xxhash64(F.col(id_col), F.xxhash64(text_col))).join(keepers, "near_dedup_key", "left_semi")
+    return picked.dropDuplicates(["near_dedup_key"]).select(docs.columns)
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -406,3 +406,29 @@ def test_html(spark, none):
     df = spark.createDataFrame([*[(k, "https://h.org/", PAGE) for k in range(5)], (7, "https://h.org/z", flooded)], "page_id long, url string, html string")
     assert [r["text"] for r in op10.extract_pages(df).where("page_id = 7").collect()] == ["Head&line First para with bold text and more of it. Second line <ok>"]
     assert op10.host_of and op10.parse("<a href='x>y'>q</a>")[1] == [((0,), "q")]
+
+
+def test_near_copies_against_all_pairs(spark):
+    rng = np.random.default_rng(5)
+    vocabulary = ["w" + "".join(rng.choice(list("abcdefgh"), 4)) for _ in range(300)]
+    texts = []
+    for _ in range(15):
+        base = rng.choice(vocabulary, int(rng.integers(60, 200))).tolist()
+        texts.append(" ".join(base))
+        for _ in range(4):
+            copy = list(base)
+            for i in rng.choice(len(base), int(rng.integers(1, 4)), replace=False):
+                copy[i] = "edited"
+            texts.append(" ".join(copy))
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    sets = [set(op9.shingle_set(t.encode()).tolist()) for t in texts]
+    similar = [(a, b) for a, b in itertools.combinations(range(len(texts)), 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    names = {r["node"]: r["doc_id"] for r in df.selectExpr("xxhash64(text) AS node", "doc_id").collect()}
+    root = {names[r["node"]]: r["root"] for r in op9.near_copies(df).collect()}
+    assert sum(a in root and root[a] == root.get(b) for a, b in similar) >= 0.9 * len(similar)
+    groups = {}
+    for a, b in similar:
+        groups.setdefault(a // 5, set()).update((a, b))
+    assert all(a // 5 == b // 5 for a, b in itertools.combinations(root, 2) if root[a] == root[b])
+    kept = {r["doc_id"] for r in op9.one_of_each(df).collect()}
+    assert len(kept) < len(texts) - 30 and set(range(0, len(texts), 5)) <= kept
