@@ -209,7 +209,8 @@ def near_copies(docs: DataFrame, text_col: str = "text", width: int = WORDS, sim
     def sets(batch):
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(t, width).tobytes() for t in encoded(batch.column(1))], pa.binary())], names=["node", "s"])
 
-    wanted = texts.join(nodes, "node", "left_semi").dropDuplicates(["node"])
+    # one text of each node leaves a task, however many copies it has
+    wanted = texts.groupBy("node").agg(F.first("text").alias("text")).join(nodes, "node", "left_semi")
     shingles = stored(map_arrow(wanted, per_batch(sets), "node long, s binary"), "shingle-sets")
     release(spark)
 
