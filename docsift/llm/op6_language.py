@@ -4,8 +4,9 @@ A linear support vector machine for each family of related languages (one agains
 the rest) predicts the family; within it, a machine for each pair of languages (one
 versus one) votes.  Features are hashed byte trigrams of the lower-cased letters of
 the whole text.  Machines are trained in numpy on a bounded sample of labelled rows:
-at most `per_language` texts of each language (those with the least hash of doc_id),
-each as a fixed-length vector, so what the driver gathers is bounded.
+at most `per_language` texts of each language (those with the least hash of doc_id)
+and SAMPLE_ROWS in all, each as a fixed-length vector, so what the driver gathers is
+bounded.
 
 Learning reads only rows whose crc32(doc_id as text) mod 5 is not 0.  A prediction
 reads the text alone.  The score is the family's probability times the language's
@@ -30,8 +31,8 @@ from pyspark.sql import types as T
 from docsift.llm.common import crc_mod, map_arrow, per_batch, table
 
 DIM = 4096
-#: The bounded sample: labelled texts of each language, and languages.
-PER_LANGUAGE, LANGUAGES = 512, 64
+#: The bounded sample: labelled texts of each language, languages, and texts in all (a language's share shrinks when there are many).
+PER_LANGUAGE, LANGUAGES, SAMPLE_ROWS = 512, 64, 8192
 UNKNOWN = "und"
 
 # Language codes by family.
@@ -128,6 +129,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     """Train on a bounded sample of the labelled rows whose checksum allows learning."""
     known = docs.where((crc_mod(F.col("doc_id"), 5) != 0) & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "lang")
     names = [r["lang"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
+    per_language = min(per_language, SAMPLE_ROWS // max(1, len(names)))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
     chosen = known.where(F.col("lang").isin(names)).withColumn("place", place).where(F.col("place") <= per_language).select("doc_id").distinct()
 
@@ -135,9 +137,9 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
         rows = [(v, features(t).tobytes()) for t, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if has_letter(t)]
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.binary())], names=["lang", "x"])
 
-    # at most per_language * LANGUAGES ids, so the broadcast is bounded
+    # at most SAMPLE_ROWS ids, so the broadcast is bounded
     rows = docs.join(F.broadcast(chosen), "doc_id", "left_semi").where(F.col("lang").isin(names)).select("text", "lang")
-    got = map_arrow(rows, per_batch(run), "lang string, x binary").limit(2 * per_language * LANGUAGES).collect()
+    got = map_arrow(rows, per_batch(run), "lang string, x binary").limit(2 * SAMPLE_ROWS).collect()
     if not got:
         return None
     return Model(np.stack([np.frombuffer(bytes(r["x"]), np.float32) for r in got]), [r["lang"] for r in got])
