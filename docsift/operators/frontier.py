@@ -17,6 +17,7 @@ from docsift.functions.classify import score_candidate
 from docsift.functions.sniff import auth_gate, challenge, decode_text, detect_file_type, ok, sniff_kind
 from docsift.functions.urls import anchor_selector, has_policy_hint, host, in_scope, is_html_policy_page, is_noise, looks_like_document_url, looks_like_policy_index, normalise_url, page_label
 from docsift.functions.text import trim_label
+from docsift.operators.enumeration import candidates, templates
 from docsift.operators.html import extract_links
 from docsift.operators.report import outcome
 from docsift.operators.robots import decide
@@ -111,6 +112,23 @@ def resolve_documents(candidates: DataFrame, answered: DataFrame) -> DataFrame:
     return joined.withColumns({"outcome": became, "file_type": kind, "evidence": F.coalesce(F.nullif(wall, F.lit("")), F.nullif(gate, F.lit("")), F.lit(""))})
 
 
+def enumerate_documents(found: DataFrame, withheld: DataFrame, responses: DataFrame, rules: DataFrame, budget: int = 20) -> DataFrame:
+    """Neighbours of numbered documents, for payers whose robots rules withhold something helpful.
+
+    found: payer_name, document_url, seq of documents that answered; withheld: payer_name.
+    Candidates that robots rules allow meet their responses; a payer's candidates after
+    its first refusal are left out.  What comes back still needs verify_enumerated().
+    """
+    tried = candidates(templates(found), budget).join(withheld.select("payer_name").distinct(), "payer_name", "left_semi")
+    known = found.select("payer_name", normalise_url(F.col("document_url")).alias("key")).distinct()
+    tried = tried.select("payer_name", "url", F.col("place").cast("long").alias("seq"), F.lit("url_pattern").alias("origin"), F.concat(F.lit("enumerated: "), F.col("prefix"), F.lit("{n}"), F.col("suffix")).alias("discovery_path"))
+    tried = tried.withColumn("key", normalise_url(F.col("url"))).join(known, ["payer_name", "key"], "left_anti")
+    answered = responses.withColumn("key", normalise_url(F.col("url"))).dropDuplicates(["key"]).drop("url")
+    became = resolve_documents(decide(tried, rules).where("allowed"), answered)
+    refused = became.where("outcome = 'challenged'").groupBy("payer_name").agg(F.min("seq").alias("_stop"))
+    return became.join(refused, "payer_name", "left").where(F.col("_stop").isNull() | (F.col("seq") <= F.col("_stop"))).drop("_stop")
+
+
 def blocks(documents: DataFrame) -> DataFrame:
     """Payers that were refused, with the first evidence."""
     return documents.where("outcome = 'challenged'").groupBy("payer_name").agg(F.min_by("evidence", "seq").alias("block_evidence")).withColumn("blocked", F.lit(True))

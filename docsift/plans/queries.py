@@ -390,18 +390,14 @@ def x2(spark, sf_dir):
     return _pages(spark, sf_dir).select("page_id", html.html_text(F.col("html")).alias("text"))
 
 
-_RE2_ANCHOR = vocab.ANCHOR
 _BASE_ROOT = f"{d.part('url', 1)} || '://' || {d.part('url', 2)}"
 
 
-@query("s14_links", f"SELECT page_id, CAST(min(seq) AS INT) AS seq, link, arg_min(text, seq) AS text FROM (SELECT page_id, seq, {_BASE_ROOT} || trim(h, '\"') AS link, {d.clean('regexp_replace(t, $$<[^>]+>$$, $$ $$, $$g$$)')} AS text FROM (SELECT page_id, url, unnest(range(len(regexp_extract_all(html, {Q(_RE2_ANCHOR)}, 1)))) AS seq, unnest(regexp_extract_all(html, {Q(_RE2_ANCHOR)}, 1)) AS h, unnest(regexp_extract_all(html, {Q(_RE2_ANCHOR)}, 2)) AS t FROM pages)) GROUP BY page_id, link")
+@query("s14_links", f"SELECT page_id, CAST(min(seq) AS INT) AS seq, link, arg_min(text, seq) AS text FROM (SELECT page_id, seq, {_BASE_ROOT} || trim(h, '\"') AS link, {d.clean('regexp_replace(t, $$<[^>]+>$$, $$ $$, $$g$$)')} AS text FROM (SELECT page_id, url, unnest(range(len(regexp_extract_all(html, {Q(vocab.ANCHOR)}, 1)))) AS seq, unnest(regexp_extract_all(html, {Q(vocab.ANCHOR)}, 1)) AS h, unnest(regexp_extract_all(html, {Q(vocab.ANCHOR)}, 2)) AS t FROM pages)) GROUP BY page_id, link")
 def s14(spark, sf_dir):
     return html.extract_links(_pages(spark, sf_dir), keep=("page_id",)).select("page_id", "seq", "link", "text")
 
 
-_STEP = "0.45 + 0.20 * s"
-
-
 @query("x9_confidence", f"SELECT id, CASE WHEN id % 5 = 3 THEN 0.40 WHEN id % 5 = 4 THEN 0.25 ELSE greatest(0, least(1, CAST(0.45 AS DOUBLE) + CAST(0.20 AS DOUBLE) * s + CAST(CASE WHEN body <> 'n/a' THEN 0.12 ELSE 0.06 END AS DOUBLE) + CAST(CASE WHEN body <> 'n/a' THEN 0.08 ELSE 0 END AS DOUBLE) + CAST(CASE WHEN id % 2 = 0 THEN 0.07 ELSE 0 END AS DOUBLE) + CAST(CASE WHEN id % 3 = 0 THEN 0.08 ELSE 0 END AS DOUBLE) + CAST(CASE WHEN line_default <> 'Unknown' THEN 0.03 ELSE 0 END AS DOUBLE) - CAST(CASE WHEN id % 7 = 0 THEN 0.10 ELSE 0 END AS DOUBLE) - CAST(CASE WHEN id % 11 = 0 THEN 0.10 ELSE 0 END AS DOUBLE))) END AS confidence FROM (SELECT *, CAST({d.doc_type(_STRONG, _WEAK, 'strength')} AS DOUBLE) AS s FROM ({_TITLES_DUCK}))")
 def x9(spark, sf_dir):
     c, i = F.col, F.col("id")

@@ -53,6 +53,16 @@ def test_budgets(spark):
     assert sorted((r["origin"], r["priority"]) for r in seeds) == [("index", 0.5), ("sitemap_doc", 3.2)]
 
 
+def test_enumeration(spark):
+    found = spark.createDataFrame([("P", f"https://www.h.org/d/{n}.pdf", n) for n in (10, 11, 13)], "payer_name string, document_url string, seq long")
+    answers = [(f"https://www.h.org/d/{n}.pdf", 403 if n == 17 else 200, {"content-type": ""}, b"%PDF-", "") for n in (12, 14, 15, 16, 17, 9)]
+    responses = spark.createDataFrame(answers, "url string, status int, headers map<string,string>, content binary, final_url string")
+    withheld = spark.createDataFrame([("P",)], "payer_name string")
+    got = {r["url"].rsplit("/", 1)[1]: r["outcome"] for r in frontier.enumerate_documents(found, withheld, responses, rules(spark)).collect()}
+    assert got == {"14.pdf": "ok", "15.pdf": "ok", "16.pdf": "ok", "17.pdf": "challenged"}
+    assert frontier.enumerate_documents(found, withheld.limit(0), responses, rules(spark)).count() == 0
+
+
 def test_mail(tmp_path):
     path = tmp_path / "o.csv"
     path.write_text("a,b\n")
