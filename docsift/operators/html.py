@@ -34,19 +34,21 @@ def html_text(page: Column, limit: int = 200_000) -> Column:
     return F.substring(clean_text(strip_tags(dropped)), 1, limit)
 
 
+def links(page: Column, base: Column) -> Column:
+    """array of struct(seq, link, text): a page's http(s) links in order, the first of equal links only; no shuffle is needed."""
+    found = F.arrays_zip(F.regexp_extract_all(page, F.lit(vocab.ANCHOR), F.lit(1)).alias("h"), F.regexp_extract_all(page, F.lit(vocab.ANCHOR), F.lit(2)).alias("t"))
+    href = lambda a: F.regexp_replace(F.regexp_replace(F.trim(a["h"]), "^[\"']+|[\"']+$", ""), r"^\s+|\s+$", "")
+    resolved = F.transform(found, lambda a, i: F.struct(i.alias("seq"), resolve(base, href(a)).alias("link"), a["t"].alias("text")))
+    kept = F.filter(resolved, lambda a: a["link"].isNotNull())
+    names = lambda x: F.transform(x, lambda a: a["link"])
+    first = F.transform(F.array(kept), lambda x: F.filter(x, lambda a, i: F.array_position(names(x), a["link"]) == i + 1))
+    return F.transform(F.get(first, F.lit(0)), lambda a: F.struct(a["seq"].alias("seq"), a["link"].alias("link"), clean_text(strip_tags(a["text"])).alias("text")))
+
+
 def extract_links(pages: DataFrame, html: str = "html", base: str = "url", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Rows (keep..., seq, link, text): each page's http(s) links in order, the first of equal links only.
-
-    seq counts from 0 by page and has gaps where links were dropped.
-    """
-    hrefs = F.regexp_extract_all(F.col(html), F.lit(vocab.ANCHOR), F.lit(1))
-    texts = F.regexp_extract_all(F.col(html), F.lit(vocab.ANCHOR), F.lit(2))
-    found = pages.select(*keep, F.col(base).alias("_base"), F.posexplode(F.arrays_zip(hrefs.alias("h"), texts.alias("t"))).alias("seq", "a"))
-    href = F.regexp_replace(F.regexp_replace(F.trim(F.col("a.h")), "^[\"']+|[\"']+$", ""), r"^\s+|\s+$", "")
-    resolved = found.select(*keep, "_base", "seq", resolve(F.col("_base"), href).alias("link"), clean_text(strip_tags(F.col("a.t"))).alias("text")).where(F.col("link").isNotNull())
-    # first of equal links of a page: all of a page's links stem from one row, so the groups are small
-    first = resolved.groupBy(*keep, "_base", "link").agg(F.min(F.struct("seq", "text")).alias("f"))
-    return first.select(*keep, F.col("f.seq").alias("seq"), "link", F.col("f.text").alias("text"))
+    """Rows (keep..., seq, link, text) of links(): seq counts from 0 by page and has gaps where links were dropped."""
+    rows = pages.select(*keep, F.explode(links(F.col(html), F.col(base))).alias("_a"))
+    return rows.select(*keep, F.col("_a.seq").alias("seq"), F.col("_a.link").alias("link"), F.col("_a.text").alias("text"))
 
 
 class _Anchors(HTMLParser):
