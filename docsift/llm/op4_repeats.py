@@ -26,15 +26,13 @@ table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsift.llm.common import blocks, encoded, map_arrow, per_batch, release, stored, table
+from docsift.llm.common import blocks, discard, encoded, map_arrow, per_batch, release, stored, table
 
 DEPTH, GRAM = 200, 64
 #: Runs with one first digit that one task sorts; beyond it single windows are dealt out.
@@ -235,7 +233,9 @@ def repeated_spans(docs: DataFrame, depth: int = DEPTH, gram: int = GRAM, crowd:
     release(spark)
     kinds = by_whole.groupBy("digit").agg(F.sum("c").alias("all"), F.count(F.lit(1)).alias("different")).where(F.col("all") > 1).drop("all")
     alive = stored(by_whole.join(kinds, "digit").select("digit", "whole", (F.col("c") > 1).alias("full"), "different"), "buckets")
+    discard(by_whole)
     kept = stored(found.join(alive, ["digit", "whole"]), "kept-runs")
+    discard(found)
     release(spark)
     full = kept.where("full").select("a", "b", F.col("first").alias("start"), (F.col("first") + F.col("n") + (depth - 1)).cast("int").alias("stop"))
     alike = kept.where("different > 1")
