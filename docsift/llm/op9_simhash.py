@@ -124,6 +124,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 # --- one document of each group of near copies ------------------------------------------------------------------------
 
 WORDS, SIMILARITY, PRINTS = 5, 0.8, 3
+#: Bits that the prints of similar texts differ in at most, a print on average; similarity 0.8 comes to about three.
+APART = 8
 
 
 def word_prints(text: bytes, prints: int = PRINTS) -> np.ndarray:
@@ -150,20 +152,44 @@ def shingle_set(text: bytes, width: int = WORDS) -> np.ndarray:
     return np.unique(np.fromiter((xxhash.xxh64_intdigest(b" ".join(words[i : i + width])) for i in range(n)), np.uint64, n))
 
 
-def _stars(batches):
-    """Rows sorted by key and node: each node of a key with the key's first node."""
-    key = first = None
+#: Neighbours in a bucket that each print is compared with, besides the bucket's first.
+NEIGHBOURS = 16
+
+
+def _close_pairs(batches):
+    """Rows (key, other) sorted by both: pairs of prints of one key that differ in three bits at most.
+
+    Each print meets its bucket's first and the NEIGHBOURS after it, so a bucket costs
+    time in proportion to its size; prints are rebuilt from the key and the rest.
+    """
+    key, full, first = np.empty(0, np.int64), np.empty(0, np.uint64), None
     for batch in batches:
         if not batch.num_rows:
             continue
-        keys, nodes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        new = np.concatenate([[key is None or keys[0] != key], keys[1:] != keys[:-1]])
-        group = np.cumsum(new) - (1 if new[0] else 0)
-        centres = np.concatenate([np.array([] if new[0] else [first], np.int64), nodes[new]])[group]
-        key, first = keys[-1], centres[-1]
-        off = nodes != centres
-        if off.any():
-            yield pa.RecordBatch.from_arrays([pa.array(nodes[off]), pa.array(centres[off])], names=["src", "dst"])
+        keys, rest = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        bit = (keys >> 33 & 0x3F).astype(np.uint64)
+        segment = (keys & 0xFFFFFFFF).astype(np.uint64) | np.where(bit < 32, (rest >> 32 & 1).astype(np.uint64) << np.minimum(bit, 31), np.uint64(0))
+        other = (rest & 0xFFFFFFFF).astype(np.uint64)
+        upper = (keys >> 40 & 1) == 1
+        made = np.where(upper, segment << np.uint64(32) | other, other << np.uint64(32) | segment)
+        old = len(key)
+        key, full = np.concatenate([key, keys]), np.concatenate([full, made])
+        new = np.concatenate([[True], key[1:] != key[:-1]])
+        heads = full[new]
+        if old and first is not None and first[0] == key[0]:
+            heads[0] = first[1]
+        heads = heads[np.cumsum(new) - 1]
+        pairs = [(heads[old:], full[old:], key[old:])]
+        for step in range(1, NEIGHBOURS + 1):
+            left, right = full[:-step], full[step:]
+            fits = (key[:-step] == key[step:]) & (np.arange(step, len(key)) >= old)
+            pairs.append((left[fits], right[fits], key[step:][fits]))
+        first = (key[-1], heads[-1])
+        x, y, k = (np.concatenate(c) for c in zip(*pairs))
+        near = (x != y) & (np.bitwise_count(x ^ y) <= DISTANCE)
+        if near.any():
+            yield pa.RecordBatch.from_arrays([pa.array((k[near] >> 48).astype(np.int32)), pa.array(x[near].view(np.int64)), pa.array(y[near].view(np.int64))], names=["which", "fa", "fb"])
+        key, full = key[-NEIGHBOURS:], full[-NEIGHBOURS:]
 
 
 def _alike(similarity: float):
@@ -181,11 +207,11 @@ def _alike(similarity: float):
 def near_copies(docs: DataFrame, text_col: str = "text", width: int = WORDS, similarity: float = SIMILARITY, prints: int = PRINTS) -> DataFrame:
     """(node, root) for texts, by xxhash64, that are linked to others by shingle sets of at least this similarity.
 
-    Candidates come from deletion-variant signatures of several word prints: under each
-    variant every text meets the first text of that variant (a star, so a bucket of n
-    texts costs n tests, not all pairs).  Tests are exact, on whole shingle sets.  First
-    each text is tested against one candidate; pairs that this has joined need no more
-    tests, all others are tested.
+    Candidates come from deletion-variant signatures of several word prints: prints that
+    share a variant and differ in three bits at most (each is compared with its bucket's
+    first and some neighbours, not with all), if all prints together differ little.
+    Tests are exact, on whole shingle sets.  First each text is tested against one
+    candidate; pairs that this has joined need no more tests, all others are tested.
     """
     spark = docs.sparkSession
     texts = docs.select(F.xxhash64(text_col).alias("node"), F.col(text_col).alias("text"))
@@ -197,20 +223,31 @@ def near_copies(docs: DataFrame, text_col: str = "text", width: int = WORDS, sim
     signatures = map_arrow(texts, per_batch(signed), "node long, " + ", ".join(f"p{k} long" for k in range(prints)))
     signatures = stored(signatures.groupBy("node").agg(*[F.first(f"p{k}").alias(f"p{k}") for k in range(prints)]), "word-prints")
     each = signatures.select("node", F.posexplode(F.array(*[f"p{k}" for k in range(prints)])).alias("which", "fp"))
-    rows = each.select("node", "which", F.explode(F.array(F.lit(0), F.lit(1))).alias("seg"), "fp").withColumn("value", _segment(F.col("fp"), F.col("seg")))
+    reps = stored(each.groupBy("which", "fp").agg(F.min("node").alias("rep")), "print-classes")
+    rows = reps.select("which", F.explode(F.array(F.lit(0), F.lit(1))).alias("seg"), "fp")
+    rows = rows.withColumns({"value": _segment(F.col("fp"), F.col("seg")), "other": _segment(F.col("fp"), 1 - F.col("seg"))})
     rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(32))).alias("bit"))
     key = "shiftleft(cast(which as bigint), 48) | shiftleft(cast(seg as bigint), 40) | shiftleft(cast(bit as bigint), 33) | if(bit = 32, value, value & ~shiftleft(1L, bit))"
+    rest = "other | if(bit = 32, 0L, shiftleft(shiftright(value, bit) & 1, 32))"
     shards = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    keyed = rows.select(F.expr(key).alias("key"), "node").repartition(shards, "key").sortWithinPartitions("key", "node")
-    edges = stored(map_arrow(keyed, _stars, "src long, dst long").distinct(), "candidates")
+    keyed = rows.select(F.expr(key).alias("key"), F.expr(rest).alias("rest")).repartition(shards, "key").sortWithinPartitions("key", "rest")
+    pairs = stored(map_arrow(keyed, _close_pairs, "which int, fa long, fb long").distinct(), "close-prints")
+    release(spark)
+    side = lambda fp, name: reps.select("which", F.col("fp").alias(fp), F.col("rep").alias(name))
+    met = pairs.join(side("fa", "x"), ["which", "fa"]).join(side("fb", "y"), ["which", "fb"]).select("x", "y")
+    met = met.unionByName(each.join(reps, ["which", "fp"]).where("node != rep").select(F.col("node").alias("x"), F.col("rep").alias("y")))
+    met = met.where("x != y").select(F.greatest("x", "y").alias("src"), F.least("x", "y").alias("dst")).distinct()
+    all_of = lambda name: signatures.select(F.col("node").alias(name), *[F.col(f"p{k}").alias(f"{name}{k}") for k in range(prints)])
+    apart = sum((F.bit_count(F.col(f"src{k}").bitwiseXOR(F.col(f"dst{k}"))) for k in range(prints)), F.lit(0))
+    edges = stored(met.join(all_of("src"), "src").join(all_of("dst"), "dst").where(apart <= APART * prints).select("src", "dst"), "candidates")
     release(spark)
     nodes = edges.select("src").union(edges.select("dst")).distinct().withColumnRenamed("src", "node")
 
     def sets(batch):
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(t, width).tobytes() for t in encoded(batch.column(1))], pa.binary())], names=["node", "s"])
 
-    # one text of each node leaves a task, however many copies it has
-    wanted = texts.groupBy("node").agg(F.first("text").alias("text")).join(nodes, "node", "left_semi")
+    # one text of each node leaves a task, however many copies it has; the hint keeps the plan alike at every size
+    wanted = texts.groupBy("node").agg(F.first("text").alias("text")).join(nodes.hint("merge"), "node", "left_semi")
     shingles = stored(map_arrow(wanted, per_batch(sets), "node long, s binary"), "shingle-sets")
     release(spark)
 
