@@ -128,10 +128,15 @@ class Model:
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     """Train on a bounded sample of the labelled rows whose checksum allows learning."""
     known = docs.where((crc_mod(F.col("doc_id"), 5) != 0) & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "lang")
-    names = [r["lang"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
+    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
+    names = list(counts)
     per_language = min(per_language, SAMPLE_ROWS // max(1, len(names)))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = known.where(F.col("lang").isin(names)).withColumn("place", place).where(F.col("place") <= per_language).select("doc_id").distinct()
+    # a slice of each language's hash range holds a few times what is wanted; so few rows meet when the least are picked
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    slices = [F.when(F.col("lang") == v, F.lit(int((1 << 30) * min(1.0, 4 * (per_language + 16) / n)))) for v, n in counts.items()]
+    some = known.where(F.coalesce(*slices, F.lit(0)) > place).withColumn("place", place)
+    least = F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id"))
+    chosen = some.withColumn("n", least).where(F.col("n") <= per_language).select("doc_id").distinct()
 
     def run(batch):
         rows = [(v, features(t).tobytes()) for t, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if has_letter(t)]
