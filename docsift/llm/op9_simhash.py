@@ -123,26 +123,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 # --- one document of each group of near copies ------------------------------------------------------------------------
 
-WORDS, SIMILARITY, PRINTS = 5, 0.8, 3
-#: Bits that the prints of similar texts differ in at most, a print on average; similarity 0.8 comes to about three.
-APART = 8
-
-
-def word_prints(text: bytes, prints: int = PRINTS) -> np.ndarray:
-    """Independent 64-bit SimHashes of a text's words, each weighing the root of its count; a few edited words turn few bits."""
-    words, counts = np.unique(np.array(text.translate(LOWER).split(), dtype=object), return_counts=True) if text.split() else ([], np.empty(0))
-    if not len(words):
-        return np.zeros(prints, np.uint64)
-    weights = np.sqrt(counts).astype(np.float32)
-    out = []
-    for seed in range(prints):
-        hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), "<u8", len(words))
-        total = np.zeros(64, np.float32)
-        for at in range(0, len(words), _BITS_AT_ONCE):
-            bits = np.unpackbits(hashes[at : at + _BITS_AT_ONCE].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            total += weights[at : at + _BITS_AT_ONCE] @ (2.0 * bits.astype(np.float32) - 1)
-        out.append(np.packbits(total > 0, bitorder="little").view("<u8")[0])
-    return np.array(out, np.uint64)
+WORDS, SIMILARITY = 5, 0.8
+#: Texts whose shingles are counted to tell common ones, the count that makes one common, and the most that are told; they order prefixes and bear on time only.
+COUNTED, COMMON, TOLD = 10_000, 3, 200_000
+_PAIRS_AT_ONCE = 1 << 19
 
 
 def shingle_set(text: bytes, width: int = WORDS) -> np.ndarray:
@@ -152,44 +136,131 @@ def shingle_set(text: bytes, width: int = WORDS) -> np.ndarray:
     return np.unique(np.fromiter((xxhash.xxh64_intdigest(b" ".join(words[i : i + width])) for i in range(n)), np.uint64, n))
 
 
-#: Neighbours in a bucket that each print is compared with, besides the bucket's first.
-NEIGHBOURS = 16
-
-
-def _close_pairs(batches):
-    """Rows (key, other) sorted by both: pairs of prints of one key that differ in three bits at most.
-
-    Each print meets its bucket's first and the NEIGHBOURS after it, so a bucket costs
-    time in proportion to its size; prints are rebuilt from the key and the rest.
-    """
-    key, full, first = np.empty(0, np.int64), np.empty(0, np.uint64), None
+def prefix(s: np.ndarray, common: np.ndarray, rank: np.ndarray, similarity: float) -> np.ndarray:
+    """The first shingles of a set, common ones last: sets of at least this similarity share one of these."""
+    wanted = len(s) - int(np.ceil(similarity * len(s) - 1e-9)) + 1
+    if len(common):
+        at = np.minimum(np.searchsorted(common, s), len(common) - 1)
+        s = s[np.lexsort((s, np.where(common[at] == s, rank[at], 0)))]
+    return s[:wanted]
+
+
+def _prefixes(width: int, similarity: float, common: np.ndarray, rank: np.ndarray):
+    """Rows (key, node, size, pos): a text's prefix shingles with the size of its set; of copies in a task one."""
+
+    def run(batches):
+        seen = set()
+        for batch in batches:
+            nodes, keys, sizes, counts = [], [], [], []
+            for node, text in zip(batch.column(0).to_pylist(), encoded(batch.column(1))):
+                if node not in seen:
+                    seen.add(node)
+                    s = shingle_set(text, width)
+                    keys.append(prefix(s, common, rank, similarity))
+                    nodes.append(node)
+                    sizes.append(len(s))
+                    counts.append(len(keys[-1]))
+            if nodes:
+                pos = np.concatenate([np.arange(c, dtype=np.int32) for c in counts])
+                made = [np.concatenate(keys).view(np.int64), np.repeat(np.array(nodes, np.int64), counts), np.repeat(np.array(sizes, np.int32), counts), pos]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in made], names=["key", "node", "size", "pos"])
+
+    return run
+
+
+def _shared(batches):
+    """Rows sorted by key, size and node: those of keys with several nodes, each with the key's first node as head."""
+    names = ["key", "node", "size", "pos", "head"]
+    held, kept = None, False
     for batch in batches:
         if not batch.num_rows:
             continue
-        keys, rest = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        bit = (keys >> 33 & 0x3F).astype(np.uint64)
-        segment = (keys & 0xFFFFFFFF).astype(np.uint64) | np.where(bit < 32, (rest >> 32 & 1).astype(np.uint64) << np.minimum(bit, 31), np.uint64(0))
-        other = (rest & 0xFFFFFFFF).astype(np.uint64)
-        upper = (keys >> 40 & 1) == 1
-        made = np.where(upper, segment << np.uint64(32) | other, other << np.uint64(32) | segment)
-        old = len(key)
-        key, full = np.concatenate([key, keys]), np.concatenate([full, made])
+        cols = [batch.column(k).to_numpy() for k in range(4)]
+        if held is not None:
+            cols = [np.concatenate([[h], c]).astype(c.dtype) for h, c in zip(held, cols)]
+        key, node = cols[0], cols[1]
+        fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])])
+        cols = [c[fresh] for c in cols]
+        key = cols[0]
         new = np.concatenate([[True], key[1:] != key[:-1]])
-        heads = full[new]
-        if old and first is not None and first[0] == key[0]:
-            heads[0] = first[1]
-        heads = heads[np.cumsum(new) - 1]
-        pairs = [(heads[old:], full[old:], key[old:])]
-        for step in range(1, NEIGHBOURS + 1):
-            left, right = full[:-step], full[step:]
-            fits = (key[:-step] == key[step:]) & (np.arange(step, len(key)) >= old)
-            pairs.append((left[fits], right[fits], key[step:][fits]))
-        first = (key[-1], heads[-1])
-        x, y, k = (np.concatenate(c) for c in zip(*pairs))
-        near = (x != y) & (np.bitwise_count(x ^ y) <= DISTANCE)
-        if near.any():
-            yield pa.RecordBatch.from_arrays([pa.array((k[near] >> 48).astype(np.int32)), pa.array(x[near].view(np.int64)), pa.array(y[near].view(np.int64))], names=["which", "fa", "fb"])
-        key, full = key[-NEIGHBOURS:], full[-NEIGHBOURS:]
+        first = cols[1][new]
+        if held is not None:
+            first[0] = held[4]
+        head = first[np.cumsum(new) - 1]
+        keep = ~new
+        keep[:-1] |= ~new[1:]
+        keep[0] |= held is not None and kept
+        held, kept = [*(c[-1] for c in cols), head[-1]], bool(keep[-1])
+        keep[-1] = False
+        if keep.any():
+            yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (*cols, head)], names=names)
+    if held is not None and kept:
+        yield pa.RecordBatch.from_arrays([pa.array([h], t) for h, t in zip(held, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()))], names=names)
+
+
+def _across(node, size, pos, group, similarity):
+    """Pairs of one key's rows, sorted by size, of different groups that sizes and places leave a chance."""
+    names, of = np.unique(group, return_inverse=True)
+    if len(names) == 1:
+        return
+    most = np.bincount(of).argmax()
+    few = np.flatnonzero(of != most)
+    low = np.searchsorted(size, np.ceil(similarity * size[few] - 1e-9), "left")
+    high = np.searchsorted(size, np.floor(size[few] / similarity + 1e-9), "right")
+    many = np.cumsum(high - low)
+    start = 0
+    while start < len(few):
+        stop = max(start + 1, int(np.searchsorted(many, (many[start - 1] if start else 0) + _PAIRS_AT_ONCE, "right")))
+        n = (high - low)[start:stop]
+        i = np.repeat(few[start:stop], n)
+        j = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low[start:stop], n)
+        chance = np.minimum(size[i] - pos[i], size[j] - pos[j]) >= similarity / (1 + similarity) * (size[i] + size[j]) - 1e-6
+        fits = chance & (of[i] != of[j]) & ((of[j] == most) | (i < j))
+        if fits.any():
+            yield np.maximum(node[i[fits]], node[j[fits]]), np.minimum(node[i[fits]], node[j[fits]])
+        start = stop
+
+
+def _between(similarity: float):
+    """Rows (key, node, size, pos, group) sorted by key, size and node: pairs (src, dst) of a key whose groups differ, once a batch at most."""
+
+    def made(rows):
+        key, node, size, pos, group = (np.concatenate(c) for c in zip(*rows))
+        ends = np.flatnonzero(np.concatenate([key[1:] != key[:-1], [True]])) + 1
+        for a, b in zip(np.concatenate([[0], ends[:-1]]), ends):
+            yield from _across(node[a:b], size[a:b].astype(np.int64), pos[a:b].astype(np.int64), group[a:b], similarity)
+
+    def said(rows):
+        src, dst, n = [], [], 0
+        for x, y in made(rows):
+            src.append(x)
+            dst.append(y)
+            n += len(x)
+            if n >= _PAIRS_AT_ONCE:
+                yield batch_of(src, dst)
+                src, dst, n = [], [], 0
+        if src:
+            yield batch_of(src, dst)
+
+    def batch_of(src, dst):
+        pairs = np.unique(np.stack([np.concatenate(src), np.concatenate(dst)]), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["src", "dst"])
+
+    def run(batches):
+        rows = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cols = [batch.column(k).to_numpy() for k in range(5)]
+            last = int(np.searchsorted(cols[0], cols[0][-1]))
+            if last or (rows and rows[-1][0][-1] != cols[0][0]):
+                yield from said([*rows, [c[:last] for c in cols]])
+                rows = []
+            rows.append([c[last:] for c in cols])
+        if rows:
+            yield from said(rows)
+
+    return run
 
 
 def _alike(similarity: float):
@@ -204,44 +275,42 @@ def _alike(similarity: float):
     return per_batch(run)
 
 
-def near_copies(docs: DataFrame, text_col: str = "text", width: int = WORDS, similarity: float = SIMILARITY, prints: int = PRINTS) -> DataFrame:
+def _common(texts: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of shingles that many of a bounded number of texts hold, and their ranks, the most common last."""
+    share = min(1.0, COUNTED / max(1, texts.count()))
+    some = texts.where(F.pmod(F.xxhash64("node"), F.lit(1_000_000)) < int(share * 1_000_000)) if share < 1 else texts
+
+    def run(batch):
+        made = {n: shingle_set(t, width) for n, t in zip(batch.column(0).to_pylist(), encoded(batch.column(1)))}
+        sizes = [len(s) for s in made.values()]
+        return pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(list(made), np.int64), sizes)), pa.array(np.concatenate(list(made.values())).view(np.int64))], names=["node", "key"])
+
+    found = map_arrow(some, per_batch(run), "node long, key long").groupBy("key").agg(F.count_distinct("node").alias("n"))
+    got = found.where(F.col("n") >= COMMON).orderBy(F.desc("n"), "key").limit(TOLD).collect()
+    hashes = np.array([r["key"] for r in got], np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], np.array([r["n"] for r in got], np.int64)[order]
+
+
+def near_copies(docs: DataFrame, text_col: str = "text", width: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """(node, root) for texts, by xxhash64, that are linked to others by shingle sets of at least this similarity.
 
-    Candidates come from deletion-variant signatures of several word prints: prints that
-    share a variant and differ in three bits at most (each is compared with its bucket's
-    first and some neighbours, not with all), if all prints together differ little.
-    Tests are exact, on whole shingle sets.  First each text is tested against one
-    candidate; pairs that this has joined need no more tests, all others are tested.
+    Candidates come from an exact prefix filter: in any fixed order of all shingles, two
+    sets of at least this similarity share one of their first shingles, so many as the
+    similarity lets differ, and one.  The order puts common shingles last.  First each
+    text is tested against one text it shares most such shingles with; then all pairs
+    that share one, are not joined yet, and that sizes and places leave a chance.
+    Tests are exact, on whole shingle sets.  Nothing is capped or sampled.
     """
     spark = docs.sparkSession
     texts = docs.select(F.xxhash64(text_col).alias("node"), F.col(text_col).alias("text"))
-
-    def signed(batch):
-        made = np.stack([word_prints(t, prints) for t in encoded(batch.column(1))]).view(np.int64)
-        return pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(made[:, k]) for k in range(prints)]], names=["node", *[f"p{k}" for k in range(prints)]])
-
-    signatures = map_arrow(texts, per_batch(signed), "node long, " + ", ".join(f"p{k} long" for k in range(prints)))
-    signatures = stored(signatures.groupBy("node").agg(*[F.first(f"p{k}").alias(f"p{k}") for k in range(prints)]), "word-prints")
-    each = signatures.select("node", F.posexplode(F.array(*[f"p{k}" for k in range(prints)])).alias("which", "fp"))
-    reps = stored(each.groupBy("which", "fp").agg(F.min("node").alias("rep")), "print-classes")
-    rows = reps.select("which", F.explode(F.array(F.lit(0), F.lit(1))).alias("seg"), "fp")
-    rows = rows.withColumns({"value": _segment(F.col("fp"), F.col("seg")), "other": _segment(F.col("fp"), 1 - F.col("seg"))})
-    rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(32))).alias("bit"))
-    key = "shiftleft(cast(which as bigint), 48) | shiftleft(cast(seg as bigint), 40) | shiftleft(cast(bit as bigint), 33) | if(bit = 32, value, value & ~shiftleft(1L, bit))"
-    rest = "other | if(bit = 32, 0L, shiftleft(shiftright(value, bit) & 1, 32))"
+    common, rank = _common(texts, width)
     shards = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    keyed = rows.select(F.expr(key).alias("key"), F.expr(rest).alias("rest")).repartition(shards, "key").sortWithinPartitions("key", "rest")
-    pairs = stored(map_arrow(keyed, _close_pairs, "which int, fa long, fb long").distinct(), "close-prints")
-    release(spark)
-    side = lambda fp, name: reps.select("which", F.col("fp").alias(fp), F.col("rep").alias(name))
-    met = pairs.join(side("fa", "x"), ["which", "fa"]).join(side("fb", "y"), ["which", "fb"]).select("x", "y")
-    met = met.unionByName(each.join(reps, ["which", "fp"]).where("node != rep").select(F.col("node").alias("x"), F.col("rep").alias("y")))
-    met = met.where("x != y").select(F.greatest("x", "y").alias("src"), F.least("x", "y").alias("dst")).distinct()
-    all_of = lambda name: signatures.select(F.col("node").alias(name), *[F.col(f"p{k}").alias(f"{name}{k}") for k in range(prints)])
-    apart = sum((F.bit_count(F.col(f"src{k}").bitwiseXOR(F.col(f"dst{k}"))) for k in range(prints)), F.lit(0))
-    edges = stored(met.join(all_of("src"), "src").join(all_of("dst"), "dst").where(apart <= APART * prints).select("src", "dst"), "candidates")
+    keyed = map_arrow(texts, _prefixes(width, similarity, common, rank), "key long, node long, size int, pos int")
+    keyed = keyed.repartition(shards, "key").sortWithinPartitions("key", "size", "node")
+    shared = stored(map_arrow(keyed, _shared, "key long, node long, size int, pos int, head long"), "shared-shingles")
     release(spark)
-    nodes = edges.select("src").union(edges.select("dst")).distinct().withColumnRenamed("src", "node")
+    nodes = shared.select("node").distinct()
 
     def sets(batch):
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(t, width).tobytes() for t in encoded(batch.column(1))], pa.binary())], names=["node", "s"])
@@ -255,18 +324,21 @@ def near_copies(docs: DataFrame, text_col: str = "text", width: int = WORDS, sim
         sided = pairs.join(shingles.select(F.col("node").alias("src"), F.col("s").alias("sa")), "src").join(shingles.select(F.col("node").alias("dst"), F.col("s").alias("sb")), "dst")
         return stored(map_arrow(sided.select("src", "dst", "sa", "sb"), _alike(similarity), "src long, dst long"), "alike")
 
-    one = edges.groupBy("src").agg(F.min("dst").alias("dst"))
+    heads = shared.where("node != head").groupBy("node", "head").count()
+    one = heads.groupBy("node").agg(F.max(F.struct("count", "head")).alias("most")).select(F.greatest("node", "most.head").alias("src"), F.least("node", "most.head").alias("dst"))
+    one = stored(one.distinct(), "candidates")
     alike = tested(one)
     roots = stored(connected_components(alike, lambda df: stored(df, "links")), "roots")
-    left = edges.join(one, ["src", "dst"], "left_anti")
-    at = lambda name: roots.select(F.col("node").alias(name), F.col("root").alias(f"{name}_root"))
-    open_ = left.join(at("src"), "src", "left").join(at("dst"), "dst", "left").where(F.coalesce("src_root", "src") != F.coalesce("dst_root", "dst")).select("src", "dst")
-    return connected_components(alike.unionByName(tested(open_)), lambda df: stored(df, "links"))
+    grouped = shared.drop("head").join(roots.withColumnRenamed("root", "group"), "node", "left").withColumn("group", F.coalesce("group", "node"))
+    grouped = grouped.select("key", "node", "size", "pos", "group").repartition(shards, "key").sortWithinPartitions("key", "size", "node")
+    left = stored(map_arrow(grouped, _between(similarity), "src long, dst long").distinct().join(one, ["src", "dst"], "left_anti"), "open-pairs")
+    release(spark)
+    return connected_components(alike.unionByName(tested(left)), lambda df: stored(df, "links"))
 
 
-def one_of_each(docs: DataFrame, width: int = WORDS, similarity: float = SIMILARITY, prints: int = PRINTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, width: int = WORDS, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one row of each group of near copies, that of the smallest id (of equal ids, of the smallest text hash); of repeated rows one stays."""
-    roots = near_copies(docs, text_col, width, similarity, prints)
+    roots = near_copies(docs, text_col, width, similarity)
     named = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("node")).distinct()
     placed = named.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     keepers = placed.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "node")).alias("k"))

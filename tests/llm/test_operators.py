@@ -432,3 +432,34 @@ def test_near_copies_against_all_pairs(spark):
     assert all(a // 5 == b // 5 for a, b in itertools.combinations(root, 2) if root[a] == root[b])
     kept = {r["doc_id"] for r in op9.one_of_each(df).collect()}
     assert len(kept) < len(texts) - 30 and set(range(0, len(texts), 5)) <= kept
+
+
+def check_near_copies(spark, texts):
+    """Texts are linked exactly as all pairs of similarity 0.8 or more join them."""
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    sets = [set(op9.shingle_set(t.encode()).tolist()) for t in texts]
+    parent = list(range(len(texts)))
+
+    def find(v):
+        while parent[v] != v:
+            v = parent[v]
+        return v
+
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+            parent[find(b)] = find(a)
+    names = {r["node"]: r["doc_id"] for r in df.selectExpr("xxhash64(text) AS node", "doc_id").collect()}
+    root = {names[r["node"]]: names[r["root"]] for r in op9.near_copies(df).collect()}
+    groups = lambda of: {frozenset(g) for g in (set(k for k in range(len(texts)) if of(k) == r) for r in map(of, range(len(texts)))) if len(g) > 1}
+    expected = groups(find)
+    assert expected and groups(lambda k: root.get(k, k)) == expected
+
+
+def test_near_copies_in_a_crowd_of_like_words(spark):
+    rng = np.random.default_rng(21)
+    words = [f"w{k}" for k in range(120)]
+    texts = []
+    for k in range(60):
+        base = [f"own{k}", *rng.permutation(words).tolist()]
+        texts += [" ".join(base), " ".join([*base[1:], f"other{k}"])]
+    check_near_copies(spark, texts)
