@@ -4,9 +4,10 @@ A linear support vector machine for each family of related languages (one agains
 the rest) predicts the family; within it, a machine for each pair of languages (one
 versus one) votes.  Features are hashed byte trigrams of the lower-cased letters of
 the whole text.  Machines are trained in numpy on a bounded sample of labelled rows:
-at most `per_language` texts of each language (those with the least hash of doc_id)
-and SAMPLE_ROWS in all, each as a fixed-length vector, so what the driver gathers is
-bounded.
+at most `per_language` texts of each language (those with the least hash of doc_id),
+each as a fixed-length vector.  Every label is learned: where there are many, a
+language's share of SAMPLE_ROWS shrinks, but not below LEAST texts, so what the driver
+gathers grows with the number of languages alone.
 
 Learning reads only rows whose crc32(doc_id as text) mod 5 is not 0.  A prediction
 reads the text alone.  The score is the family's probability times the language's
@@ -31,8 +32,8 @@ from pyspark.sql import types as T
 from docsift.llm.common import crc_mod, map_arrow, per_batch, table
 
 DIM = 4096
-#: The bounded sample: labelled texts of each language, languages, and texts in all (a language's share shrinks when there are many).
-PER_LANGUAGE, LANGUAGES, SAMPLE_ROWS = 512, 64, 8192
+#: The bounded sample: labelled texts of each language, texts in all, and the texts that a language's share never shrinks below.
+PER_LANGUAGE, SAMPLE_ROWS, LEAST = 512, 8192, 16
 UNKNOWN = "und"
 
 # Language codes by family.
@@ -70,14 +71,14 @@ def features(text: str) -> np.ndarray:
 
 
 def train_svm(x: np.ndarray, y: np.ndarray, c: float = 1.0, rounds: int = 120) -> np.ndarray:
-    """Linear machine with squared hinge loss (classes weighed alike), by accelerated gradient steps; y is +1 or -1. The last weight is the bias."""
+    """Linear machine with squared hinge loss (classes weighed alike), by accelerated gradient steps; y is +1 or -1, with a column for each machine if there are several. The last weight is the bias."""
     x = np.hstack([x, np.ones((len(x), 1), np.float32)])
-    weigh = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32)
-    w = v = np.zeros(x.shape[1], np.float32)
+    weigh = np.where(y > 0, 0.5 / np.maximum(1, (y > 0).sum(axis=0)), 0.5 / np.maximum(1, (y < 0).sum(axis=0))).astype(np.float32)
+    w = v = np.zeros((x.shape[1], *y.shape[1:]), np.float32)
     ridge, step = np.float32(1e-3 / c), np.float32(0.2)
     for k in range(rounds):
         slack = np.maximum(0, 1 - y * (x @ v))
-        gradient = ridge * v - 2 * ((weigh * slack * y) @ x)
+        gradient = ridge * v - 2 * (x.T @ (weigh * slack * y))
         new = v - step * gradient
         v = new + (k / (k + 3)) * (new - w)
         w = new
@@ -94,7 +95,7 @@ class Model:
         self.families = sorted(self.members)
         own, family = np.array(langs), np.array([family_of(v) for v in langs])
         sign = lambda hit: np.where(hit, 1.0, -1.0).astype(np.float32)
-        self.family_w = np.stack([train_svm(x, sign(family == f)) for f in self.families]) if len(self.families) > 1 else None
+        self.family_w = np.ascontiguousarray(train_svm(x, sign(family[:, None] == np.array(self.families))).T) if len(self.families) > 1 else None
         self.pair_w = {}
         for codes in self.members.values():
             for a, b in combinations(codes, 2):
@@ -128,13 +129,13 @@ class Model:
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     """Train on a bounded sample of the labelled rows whose checksum allows learning."""
     known = docs.where((crc_mod(F.col("doc_id"), 5) != 0) & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "lang")
-    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
-    names = list(counts)
-    per_language = min(per_language, SAMPLE_ROWS // max(1, len(names)))
+    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    per_language = min(per_language, max(LEAST, SAMPLE_ROWS // max(1, len(counts))))
     # a slice of each language's hash range holds a few times what is wanted; so few rows meet when the least are picked
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    slices = [F.when(F.col("lang") == v, F.lit(int((1 << 30) * min(1.0, 4 * (per_language + 16) / n)))) for v, n in counts.items()]
-    some = known.where(F.coalesce(*slices, F.lit(0)) > place).withColumn("place", place)
+    slices = [(v, int((1 << 30) * min(1.0, 4 * (per_language + 16) / n))) for v, n in counts.items()]
+    slices = docs.sparkSession.createDataFrame(slices, "lang string, slice long")
+    some = known.withColumn("place", place).join(F.broadcast(slices), "lang").where("slice > place").select("doc_id", "lang", "place")
     least = F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id"))
     chosen = some.withColumn("n", least).where(F.col("n") <= per_language).select("doc_id").distinct()
 
@@ -142,9 +143,9 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
         rows = [(v, features(t).tobytes()) for t, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if has_letter(t)]
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.binary())], names=["lang", "x"])
 
-    # at most SAMPLE_ROWS ids, so the broadcast is bounded
-    rows = docs.join(F.broadcast(chosen), "doc_id", "left_semi").where(F.col("lang").isin(names)).select("text", "lang")
-    got = map_arrow(rows, per_batch(run), "lang string, x binary").limit(2 * SAMPLE_ROWS).collect()
+    # at most per_language ids of each language, so the broadcast is bounded
+    rows = docs.join(F.broadcast(chosen), "doc_id", "left_semi").where(F.col("lang").isNotNull()).select("text", "lang")
+    got = map_arrow(rows, per_batch(run), "lang string, x binary").limit(2 * max(SAMPLE_ROWS, per_language * len(counts))).collect()
     if not got:
         return None
     return Model(np.stack([np.frombuffer(bytes(r["x"]), np.float32) for r in got]), [r["lang"] for r in got])

@@ -275,6 +275,19 @@ def test_language_held_out(spark, odd, none):
     assert op6.family_of("fr") == op6.family_of("es") and op6.family_of("xx") != op6.family_of("yy")
 
 
+def test_language_learns_every_label(spark):
+    rows = []
+    for k in range(80):
+        letters = [chr(0x4E00 + 40 * k + i) for i in range(40)]
+        rng = np.random.default_rng(k)
+        rows += [(100 * k + i, " ".join("".join(rng.choice(letters, 4)) for _ in range(30)), f"l{k}") for i in range(30 if k else 12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = op6.fit(df)
+    assert model.families == sorted({op6.family_of(f"l{k}") for k in range(80)})
+    got = [(r["lang"], r["lang_pred"]) for r in op6.predict(df, model).collect()]
+    assert sum(a == b for a, b in got) >= 0.97 * len(got) and {b for _, b in got} == {f"l{k}" for k in range(80)}
+
+
 # --- 7 ----------------------------------------------------------------------------------------------------------------
 
 
