@@ -127,6 +127,8 @@ WORDS, SIMILARITY = 5, 0.8
 #: Texts whose shingles are counted to tell common ones, the count that makes one common, and the most that are told; they order prefixes and bear on time only.
 COUNTED, COMMON, TOLD = 10_000, 3, 200_000
 _PAIRS_AT_ONCE = 1 << 19
+#: Bits of a text's parities, which rule pairs out before whole sets meet.
+PARITY = 1024
 
 
 def shingle_set(text: bytes, width: int = WORDS) -> np.ndarray:
@@ -263,6 +265,23 @@ def _between(similarity: float):
     return run
 
 
+def parity(s: np.ndarray, bits: int = PARITY) -> np.ndarray:
+    """For each value of hash mod bits, whether an odd number of shingles has it; two sets differ in as many shingles as bits here, or more."""
+    return np.packbits(np.bincount((s % np.uint64(bits)).astype(np.int64), minlength=bits) & 1)
+
+
+def _possible(similarity: float):
+    """Keeps pairs whose parities and sizes allow the similarity; no similar pair is lost."""
+
+    def run(batch):
+        bits = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("ba", "bb")]
+        least = np.bitwise_count(bits[0] ^ bits[1]).sum(axis=1, dtype=np.int64)
+        fits = least <= (1 - similarity) / (1 + similarity) * (batch.column("na").to_numpy() + batch.column("nb").to_numpy()) + 1e-6
+        return pa.RecordBatch.from_arrays([batch.column("src"), batch.column("dst"), batch.column("count")], names=["src", "dst", "count"]).filter(pa.array(fits))
+
+    return per_batch(run)
+
+
 def _alike(similarity: float):
     def run(batch):
         keep = []
@@ -299,7 +318,7 @@ def near_copies(docs: DataFrame, text_col: str = "text", width: int = WORDS, sim
     sets of at least this similarity share one of their first shingles, so many as the
     similarity lets differ, and one.  The order puts common shingles last.  First each
     text is tested against one text it shares most such shingles with; then all pairs
-    that share one, are not joined yet, and that sizes and places leave a chance.
+    that share one, are not joined yet, and that sizes, places and parities leave a chance.
     Tests are exact, on whole shingle sets.  Nothing is capped or sampled.
     """
     spark = docs.sparkSession
@@ -312,27 +331,41 @@ def near_copies(docs: DataFrame, text_col: str = "text", width: int = WORDS, sim
     release(spark)
     nodes = shared.select("node").distinct()
 
+    def bits(batch):
+        made = [shingle_set(t, width) for t in encoded(batch.column(1))]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array([parity(m).tobytes() for m in made], pa.binary()), pa.array([len(m) for m in made], pa.int32())], names=["node", "b", "n"])
+
     def sets(batch):
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(t, width).tobytes() for t in encoded(batch.column(1))], pa.binary())], names=["node", "s"])
 
-    # one text of each node leaves a task, however many copies it has; the hint keeps the plan alike at every size
-    wanted = texts.groupBy("node").agg(F.first("text").alias("text")).join(nodes.hint("merge"), "node", "left_semi")
-    shingles = stored(map_arrow(wanted, per_batch(sets), "node long, s binary"), "shingle-sets")
+    parities = map_arrow(texts, per_batch(bits), "node long, b binary, n int").dropDuplicates(["node"]).join(nodes.hint("merge"), "node", "left_semi")
+    parities = stored(parities, "parities")
     release(spark)
 
+    def possible(pairs):
+        sided = pairs.join(parities.select(F.col("node").alias("src"), F.col("b").alias("ba"), F.col("n").alias("na")), "src").join(parities.select(F.col("node").alias("dst"), F.col("b").alias("bb"), F.col("n").alias("nb")), "dst")
+        return stored(map_arrow(sided.select("src", "dst", "count", "ba", "na", "bb", "nb"), _possible(similarity), "src long, dst long, count long"), "possible")
+
     def tested(pairs):
+        ends = pairs.select("src").union(pairs.select("dst")).distinct().withColumnRenamed("src", "node")
+        # one text of each node leaves a task, however many copies it has; the hint keeps the plan alike at every size
+        wanted = texts.groupBy("node").agg(F.first("text").alias("text")).join(ends.hint("merge"), "node", "left_semi")
+        shingles = stored(map_arrow(wanted, per_batch(sets), "node long, s binary"), "shingle-sets")
+        release(spark)
         sided = pairs.join(shingles.select(F.col("node").alias("src"), F.col("s").alias("sa")), "src").join(shingles.select(F.col("node").alias("dst"), F.col("s").alias("sb")), "dst")
         return stored(map_arrow(sided.select("src", "dst", "sa", "sb"), _alike(similarity), "src long, dst long"), "alike")
 
-    heads = shared.where("node != head").groupBy("node", "head").count()
-    one = heads.groupBy("node").agg(F.max(F.struct("count", "head")).alias("most")).select(F.greatest("node", "most.head").alias("src"), F.least("node", "most.head").alias("dst"))
-    one = stored(one.distinct(), "candidates")
+    heads = shared.where("node != head").groupBy(F.greatest("node", "head").alias("src"), F.least("node", "head").alias("dst"), "node").count()
+    heads = possible(heads.groupBy("src", "dst").agg(F.sum("count").alias("count")))
+    one = heads.groupBy("src").agg(F.max(F.struct("count", "dst")).alias("most")).select("src", F.col("most.dst").alias("dst"))
+    one = stored(one, "candidates")
     alike = tested(one)
     roots = stored(connected_components(alike, lambda df: stored(df, "links")), "roots")
     grouped = shared.drop("head").join(roots.withColumnRenamed("root", "group"), "node", "left").withColumn("group", F.coalesce("group", "node"))
     grouped = grouped.select("key", "node", "size", "pos", "group").repartition(shards, "key").sortWithinPartitions("key", "size", "node")
     left = stored(map_arrow(grouped, _between(similarity), "src long, dst long").distinct().join(one, ["src", "dst"], "left_anti"), "open-pairs")
     release(spark)
+    left = possible(left.withColumn("count", F.lit(0).cast("long"))).select("src", "dst")
     return connected_components(alike.unionByName(tested(left)), lambda df: stored(df, "links"))
 
 

@@ -476,3 +476,14 @@ def test_near_copies_in_a_crowd_of_like_words(spark):
         base = [f"own{k}", *rng.permutation(words).tolist()]
         texts += [" ".join(base), " ".join([*base[1:], f"other{k}"])]
     check_near_copies(spark, texts)
+
+
+def test_near_copies_by_kind_of_edit(spark):
+    rng = np.random.default_rng(22)
+    some = lambda n: [f"w{k}" for k in rng.integers(0, 10**6, n)]
+    texts = []
+    for n in (9, 30, 100, 200) * 6:
+        base = some(n)
+        part = max(1, n // 8)
+        texts += [" ".join(x) for x in (base, base + some(part), base[: n - part], base[: n // 2] + some(part) + base[n // 2 :], base[: n // 2] + base[n // 2 + part :])]
+    check_near_copies(spark, texts)
