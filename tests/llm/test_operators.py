@@ -487,3 +487,14 @@ def test_near_copies_by_kind_of_edit(spark):
         part = max(1, n // 8)
         texts += [" ".join(x) for x in (base, base + some(part), base[: n - part], base[: n // 2] + some(part) + base[n // 2 :], base[: n // 2] + base[n // 2 + part :])]
     check_near_copies(spark, texts)
+
+
+def test_near_copies_of_reordered_texts(spark):
+    rng = np.random.default_rng(23)
+    texts = []
+    for k in range(12):
+        base = [f"t{k}w{i}" for i in range(100)]
+        texts += [" ".join(x) for x in (base, [*base[:-1], "edited"], rng.permutation(base).tolist(), rng.permutation(base).tolist())]
+        shuffled = rng.permutation(base).tolist()
+        texts += [" ".join(shuffled), " ".join([*shuffled[:50], *shuffled[51:], shuffled[50]])]
+    check_near_copies(spark, texts)
