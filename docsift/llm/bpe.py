@@ -5,6 +5,8 @@ after its leading letters where an ASCII punctuation mark follows.  The
 pre-tokenizer of a byte-level vocabulary always starts a new piece at such a place
 and no merge crosses a piece, so the ids of the chunks, joined, are the ids of the
 text.  Common chunks are encoded once per worker instead of once per occurrence.
+Added tokens of the vocabulary (such as `<|endoftext|>`) are found in texts as the
+library finds them; a text that holds one is encoded whole.
 """
 
 from __future__ import annotations
@@ -41,8 +43,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
         self._merge = self._tokenizer.model.tokenize
+        #: What the library takes for one token wherever it stands.
+        self._added = sorted({t.content for t in self._tokenizer.get_added_tokens_decoder().values()})
         self._reset()
 
     def _reset(self) -> None:
@@ -79,7 +82,7 @@ class Encoder:
             # letters alone are one piece: the model takes them as they are
             alone, mixed = [], []
             for c in missing[at : at + 8192]:
-                (alone if _PIECE(c) else mixed).append(c)
+                (alone if _PIECE(c) and not any(a in c for a in self._added) else mixed).append(c)
             found = [[t.id for t in self._merge(c.encode().decode("latin-1").translate(_SHOWN))] for c in alone]
             found += [e.ids for e in self._tokenizer.encode_batch_fast(mixed, add_special_tokens=False)]
             self._add(alone + mixed, np.fromiter(chain.from_iterable(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)))
@@ -90,6 +93,13 @@ class Encoder:
         coded = words.dictionary_encode()
         return self._index([space + w for w in coded.dictionary.to_pylist()])[coded.indices.to_numpy()]
 
+    def _marked(self, texts: list[str]) -> np.ndarray:
+        """Which texts hold an added token."""
+        column, out = pa.array(texts, pa.large_string()), np.zeros(len(texts), bool)
+        for token in self._added:
+            out |= pc.match_substring(column, token).to_numpy(zero_copy_only=False)
+        return out
+
     def encode(self, texts: list[str], end_id: int | None = 0) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts as unsigned 32-bit integers, each text closed by end_id unless it is None; text i has ids[bounds[i]:bounds[i + 1]]."""
         if self._known > MEMO_ENTRIES or self._used > 8 * MEMO_ENTRIES:
@@ -110,12 +120,13 @@ class Encoder:
         chunks[first, 0] = self._index(words.take(pa.array(codes[first])).to_pylist())
         chunks[first, 1] = empty
         counts = 2 * np.diff(offsets)
-        uncut = np.flatnonzero(np.add.reduceat(odd[codes], first) > 0) if len(texts) else []
+        marked = self._marked(texts)
+        uncut = np.flatnonzero((np.add.reduceat(odd[codes], first) > 0) | marked) if len(texts) else []
         chunks = chunks.ravel()
         if len(uncut):
             at, pieces = 0, []
             for i in uncut:
-                parts = _CUT.split(texts[i])
+                parts = [texts[i]] if marked[i] else _CUT.split(texts[i])
                 pieces.append(chunks[at : 2 * offsets[i]])
                 pieces.append(self._index([parts[0], *[" " + p for p in parts[1:]]]))
                 counts[i], at = len(parts), 2 * offsets[i + 1]
@@ -128,6 +139,13 @@ class Encoder:
         return ids.astype("<u4", copy=False), bounds
 
 
+def id_type(path: str, end_id: int = 0) -> str:
+    """The least unsigned type, 16 or 32 bits, that holds all ids of the vocabulary file at path, and end_id."""
+    from tokenizers import Tokenizer
+
+    return "<u2" if max(end_id, *Tokenizer.from_file(path).get_vocab().values()) < 1 << 16 else "<u4"
+
+
 _encoders: dict[str, Encoder] = {}
 
 

@@ -21,13 +21,16 @@ BLOCK_BYTES = 8 << 20
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 _own_root: dict[str, str] = {}
+_made: list[str] = []
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's shared folder, spark.checkpoint.dir; a folder of our own only where it is unset."""
+    """The cluster's shared folder, spark.checkpoint.dir. Where it is unset: a folder of our own in local mode, an error on a cluster."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_root:
         _own_root[app] = "file://" + tempfile.mkdtemp(prefix="docsift-shared-")
@@ -35,17 +38,35 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_root(spark)}/docsift/{name}-{uuid.uuid4().hex}"
+    """A fresh folder in the shared store, removed by cleanup()."""
+    path = f"{shared_root(spark)}/docsift/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: cuts lineage and survives lost executors."""
     spark, schema = df.sparkSession, df.schema
     path = run_folder(spark, name)
-    df.write.parquet(path)
+    writer = df.write if codec is None else df.write.option("compression", codec)
+    writer.parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
+def mark() -> int:
+    """How many run folders there are so far, for cleanup()."""
+    return len(_made)
+
+
+def cleanup(spark: SparkSession, since: int = 0, keep: DataFrame | None = None) -> None:
+    """Delete the run folders made since a mark, but for the one that keep is read from. Call it when results that read them are written."""
+    kept = {f.rsplit("/", 1)[0].rsplit("/", 1)[-1] for f in keep.inputFiles()} if keep is not None else set()
+    for path in _made[since:]:
+        if path.rsplit("/", 1)[-1] not in kept:
+            _delete(spark, path)
+            _made.remove(path)
+
+
 def blocks(texts: Iterable[bytes], limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive rows whose texts come to about limit bytes."""
     start = size = 0
@@ -95,9 +116,20 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def discard(table: DataFrame) -> None:
     """Delete a stored table that nothing reads any more."""
-    spark = table.sparkSession
     for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(table.sparkSession, folder)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """name, or name with a number, that df has no column of (in any case)."""
+    taken, k = {c.lower() for c in df.columns}, 0
+    while (found := f"{name}_{k}" if k else name).lower() in taken:
+        k += 1
+    return found

@@ -31,7 +31,25 @@ def mapped(uri: str, dtype: str) -> np.ndarray:
     path = local_path(uri)
     if path is not None:
         return np.memmap(path, dtype=dtype, mode="r") if os.path.getsize(path) else np.empty(0, dtype)
-    from pyarrow import fs
+    return Ranges(uri, dtype)[:]
 
-    store, inner = fs.FileSystem.from_uri(uri)
-    return np.frombuffer(store.open_input_file(inner).read(), dtype=dtype)
+
+class Ranges:
+    """A file's numbers by range: slices of a memory map where the store is a mounted folder, else range reads."""
+
+    def __init__(self, uri: str, dtype: str):
+        path, self.dtype = local_path(uri), np.dtype(dtype)
+        self.map = None if path is None else mapped(uri, dtype)
+        if self.map is None:
+            from pyarrow import fs
+
+            store, inner = fs.FileSystem.from_uri(uri)
+            self.file = store.open_input_file(inner)
+            self.size = self.file.size() // self.dtype.itemsize
+
+    def __getitem__(self, part: slice) -> np.ndarray:
+        if self.map is not None:
+            return self.map[part]
+        lo, hi, _ = part.indices(self.size)
+        width = self.dtype.itemsize
+        return np.frombuffer(self.file.read_at(max(0, hi - lo) * width, lo * width), self.dtype)
