@@ -7,10 +7,13 @@ strongest bin of each band where it is also a peak in time, and pairs of near pe
 A pair is one 64-bit number: the time of its first peak in the upper 32 bits, and
 both bins and the time between them below.
 
-Everything happens row by row within one scan, without a shuffle.  Long signals are
-transformed in blocks of frames, so a row's memory is a few times its own bytes.
+Everything happens row by row within one scan, without a shuffle.  The last frame is
+padded with silence, so every sample lies in a frame.  Long signals are transformed in
+blocks of frames, so a row's memory is a few times its own bytes.  The query stores the
+media table (WAV and fingerprint columns) and derives its digests from what it reads back.
 
-Defined cases: null text counts as empty (64 zero bytes, no peak); equal texts have
+Defined cases: null text counts as empty (64 zero bytes, no peak); a very long text is
+one WAV of its own length (below the format's 4 GB); equal texts and repeated rows have
 equal values; an empty table gives no rows; extra columns are ignored.
 """
 
@@ -26,11 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsift.llm.common import encoded, map_arrow, per_batch, table
+from docsift.llm.common import blocks, encoded, map_arrow, per_batch, stored, table
 
 UNIT, RATE, FRAME, HOP, FAN, REACH = 64, 8000, 256, 128, 3, 63
 BANDS = (1, 6, 12, 24, 48, 129)
 _BLOCK_FRAMES = 2048
+#: Text that one batch of media rows holds at about.
+MEDIA_BYTES = 4 << 20
 _WINDOW = np.hanning(FRAME).astype(np.float32)
 
 
@@ -55,8 +60,7 @@ def from_wav(media: bytes) -> bytes:
 def peaks(samples: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Times and bins of spectral peaks: the strongest bin of each band, where no neighbouring frame is stronger in that band."""
     x = (np.frombuffer(samples, np.uint8).astype(np.float32) - 128) / 128
-    if len(x) < FRAME:
-        x = np.concatenate([x, np.zeros(FRAME - len(x), np.float32)])
+    x = np.concatenate([x, np.zeros(max(FRAME - len(x), (FRAME - len(x)) % HOP), np.float32)])
     frames = np.lib.stride_tricks.sliding_window_view(x, FRAME)[::HOP]
     n, width = len(frames), len(BANDS) - 1
     power, bins = np.empty((n + 2, width), np.float32), np.empty((n, width), np.int64)
@@ -89,32 +93,38 @@ def fingerprint(media: bytes) -> np.ndarray:
 
 
 def media_columns(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per text: its id, the WAV and the fingerprint array."""
+    """One row per text: its id, the bytes of the text, the WAV and the fingerprint array."""
 
     def run(batch):
-        media = [to_wav(payload(t)) for t in encoded(batch.column(1))]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(media, pa.binary()), pa.array([fingerprint(m) for m in media], pa.list_(pa.int64()))], names=["doc_id", "media", "fingerprint"])
+        texts = encoded(batch.column(1))
+        for lo, hi in blocks(texts, MEDIA_BYTES):
+            media = [to_wav(payload(t)) for t in texts[lo:hi]]
+            prints = pa.array([fingerprint(m) for m in media], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array([len(t) for t in texts[lo:hi]], pa.int64()), pa.array(media, pa.binary()), prints], names=["doc_id", "n_bytes", "media", "fingerprint"])
 
-    return map_arrow(df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), per_batch(run), "doc_id long, media binary, fingerprint array<long>")
+    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return map_arrow(rows, lambda batches: (out for batch in batches for out in run(batch)), "doc_id long, n_bytes long, media binary, fingerprint array<long>")
 
 
 def _digest(batch):
     rows = []
-    for text in encoded(batch.column(1)):
-        media = to_wav(payload(text))
+    offsets, codes = batch.column("fingerprint").offsets.to_numpy(), batch.column("fingerprint").values.to_numpy().astype("<i8")
+    for media, lo, hi in zip(batch.column("media").to_pylist(), offsets[:-1], offsets[1:]):
         back = from_wav(media)
-        time, bins = peaks(back)
-        codes = pair_codes(time, bins)
-        feature = f"{len(time)}:{len(codes)}:{hashlib.sha256(codes.astype('<i8').tobytes()).hexdigest()}"
-        rows.append((len(text), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-UNIT:]), len(media), hashlib.sha256(media).hexdigest(), feature))
-    names = ["n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-    return pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, k) for c, k in zip(zip(*rows), kinds)]], names=["doc_id", *names])
+        feature = f"{hi - lo}:{hashlib.sha256(codes[lo:hi].tobytes()).hexdigest()}"
+        rows.append((len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-UNIT:]), len(media), hashlib.sha256(media).hexdigest(), feature))
+    names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+    return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), *[pa.array(c, k) for c, k in zip(zip(*rows), kinds)]], names=["doc_id", "n_bytes", *names])
+
+
+def media_digests(media: DataFrame) -> DataFrame:
+    """Sizes and checksums of a media table's columns, read back: the payload by the wave module, the feature from the stored array."""
+    return map_arrow(media, per_batch(_digest), "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
 
 
 def op3_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return map_arrow(rows, per_batch(_digest), "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return media_digests(stored(media_columns(table(spark, sf_dir, "documents")), "media", "zstd"))
 
 
 QUERIES = {"op3_media": op3_media}
