@@ -10,18 +10,22 @@ share it, so a run of windows is one row, found in a scan in linear time.  Equal
 windows have equal first digits, so a run whose digit occurs once is done.
 Second digit: the whole run of windows.  Runs that occur more than once are repeated
 in full, and only one of them stays to be compared with others.
-Further digits, over the few runs that are alike without being equal: consecutive
-chunks of the window's own bytes, for all windows of these runs.  Runs with the same
-first digit are sorted together in one task unless they are very many; those are
-sorted window by window across tasks.  Either way is exact.
-
-Digits are compared by 64-bit hashes (128 bits together and for single windows).
-Counts use partial sums and joins can split a hot digit, so a passage or a group of
-copies that a third of all documents share is spread.
-
-Defined cases: null text counts as empty; repeated rows are copies of one another;
-texts shorter than the depth keep all bytes; matches never cross documents; an empty
-table gives no rows; extra columns are ignored.
+Further digits, over the runs that are alike without being equal: consecutive chunks
+of CHUNK bytes of each window of these runs, from its first byte to its last.  A bucket
+of up to `crowd` runs is sorted by the remaining digits within a task; a larger one is
+dealt out by its digits, one pass over all tasks for each, with counts summed within
+tasks first.  Both make the same passes and drop buckets of one after each, and windows
+that are still together after the last digit are the repeated ones.
+
+Digits are compared by 64-bit hashes.  Counts use partial sums and joins can split a
+hot digit, so a passage or a group of copies that a third of all documents share is
+spread.  Spans of a document are merged before they are gathered, so a document's spans
+are fewer than its bytes by the depth.
+
+Defined cases: null text counts as empty; repeated rows are copies of one another; a
+null id takes part by its text; texts shorter than the depth keep all bytes; very long
+texts are scanned in pieces that share all windows across their edges; matches never
+cross documents; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,8 +38,8 @@ from pyspark.sql import functions as F
 
 from docsift.llm.common import blocks, discard, encoded, map_arrow, per_batch, release, stored, table
 
-DEPTH, GRAM = 200, 64
-#: Runs with one first digit that one task sorts; beyond it single windows are dealt out.
+DEPTH, GRAM, CHUNK = 200, 64, 40
+#: Different runs with one first digit that one task sorts; a larger bucket is dealt out by its further digits.
 CROWD = 2000
 PIECE = 2 << 20
 _WINDOWS_AT_ONCE = 400_000
@@ -116,12 +120,11 @@ def _scanner(depth, gram):
     return run
 
 
-def radix_repeats(data: bytes, bucket: np.ndarray, position: np.ndarray, depth: int, chunk: int = 40) -> np.ndarray:
+def radix_repeats(data: bytes, bucket: np.ndarray, position: np.ndarray, depth: int) -> np.ndarray:
     """Which of the windows at these positions equal another of the same bucket: most-significant-digit passes over chunks, dropping buckets of one."""
     repeated = np.zeros(len(position), bool)
     alive = np.arange(len(position))
-    for at in range(0, depth, chunk):
-        width = min(chunk, depth - at)
+    for at, width in _digits(depth):
         digit = _hashes(data, width)[position[alive] + at]
         order = np.lexsort((digit, bucket[alive]))
         alive, digit, own = alive[order], digit[order], bucket[alive][order]
@@ -202,19 +205,64 @@ def _cutter(depth):
     return per_batch(run)
 
 
+def _digits(depth: int) -> list[tuple[int, int]]:
+    """Places and widths of a window's digits; the last one's overlaps where CHUNK doesn't divide the depth."""
+    chunk = min(CHUNK, depth)
+    return [(min(at, depth - chunk), chunk) for at in range(0, depth, chunk)]
+
+
 def _windows(depth):
-    """Each window of the runs by a 128-bit hash."""
+    """Each window of the runs with its digits, most significant first."""
+    digits = _digits(depth)
 
     def run(batch):
-        out = ([], [], [], [], [])
-        for a, b, first, data in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "first", "bytes"))):
-            for k in range(len(data) - depth + 1):
-                h = xxhash.xxh3_128_intdigest(data[k : k + depth])
-                for column, value in zip(out, (a, b, first + k, (h >> 64) - (1 << 63), (h & (1 << 64) - 1) - (1 << 63))):
-                    column.append(value)
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()))], names=["a", "b", "start", "high", "low"])
-
-    return per_batch(run)
+        columns = [batch.column(c).to_pylist() for c in ("a", "b", "first", "digit", "bytes")]
+        for lo in range(0, batch.num_rows, 256):
+            out = []
+            for a, b, first, bucket, data in zip(*(c[lo : lo + 256] for c in columns)):
+                n, h = len(data) - depth + 1, _hashes(data, digits[0][1])
+                whole = np.broadcast_to
+                out.append((whole(np.int64(a), n), whole(np.int32(b), n), (first + np.arange(n)).astype(np.int32), whole(np.int64(bucket), n), *(h[at : at + n].view(np.int64) for at, _ in digits)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["a", "b", "start", "bucket", *(f"d{k}" for k in range(len(digits)))])
+
+    return lambda batches: (out for batch in batches if batch.num_rows for out in run(batch))
+
+
+def _dealt_passes(rows: DataFrame, depth: int) -> DataFrame:
+    """Repeated windows among the runs' bytes, by one pass a digit over all tasks: windows that are alone in their bucket are dropped, the others' bucket takes in the digit."""
+    n = len(_digits(depth))
+    alive = stored(map_arrow(rows, _windows(depth), "a long, b int, start int, bucket long, " + ", ".join(f"d{k} long" for k in range(n))), "windows")
+    for k in range(n):
+        key = ["bucket", f"d{k}"]
+        together = alive.groupBy(*key).agg(F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
+        kept = alive.join(together, key).select("a", "b", "start", F.xxhash64(*key).alias("bucket"), *[f"d{j}" for j in range(k + 1, n)])
+        alive, old = stored(kept, "windows"), alive
+        discard(old)
+    return alive.select("a", "b", "start", (F.col("start") + depth).cast("int").alias("stop"))
+
+
+def _merger(batches):
+    """Rows sorted by document and start: overlapping and touching spans of a document joined."""
+    names, held = ["a", "b", "start", "stop"], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        a, b, start, stop = (batch.column(c).to_numpy() for c in names)
+        if held is not None:
+            a, b, start, stop = (np.concatenate([[h], c]).astype(c.dtype) for h, c in zip(held, (a, b, start, stop)))
+        other = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+        # the furthest end so far in the document: ends grow from document to document by an offset
+        base = np.cumsum(other).astype(np.int64) << 32
+        far = np.maximum.accumulate(base + stop)
+        new = other | np.concatenate([[True], base[1:] + start[1:] > far[:-1]])
+        at = np.flatnonzero(new)
+        end = (far[np.append(at[1:], len(a)) - 1] & 0xFFFFFFFF).astype(np.int32)
+        held = (a[at[-1]], b[at[-1]], start[at[-1]], end[-1])
+        at, end = at[:-1], end[:-1]
+        if len(at):
+            yield pa.RecordBatch.from_arrays([pa.array(a[at]), pa.array(b[at]), pa.array(start[at]), pa.array(end)], names=names)
+    if held is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([h], t) for h, t in zip(held, (pa.int64(), pa.int32(), pa.int32(), pa.int32()))], names=names)
 
 
 def _located(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -224,7 +272,7 @@ def _located(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, depth: int = DEPTH, gram: int = GRAM, crowd: int = CROWD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (a, b, start, stop), stored: byte spans covered by windows that also start elsewhere; spans may overlap."""
+    """Rows (a, b, start, stop), stored: the maximal byte spans covered by windows that also start elsewhere."""
     spark = docs.sparkSession
     texts = _located(docs, id_col, text_col).select("a", "b", "text")
     found = stored(map_arrow(texts, _scanner(depth, gram), RUNS), "runs")
@@ -251,36 +299,25 @@ def repeated_spans(docs: DataFrame, depth: int = DEPTH, gram: int = GRAM, crowd:
     shards = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     spans = full.unionByName(map_arrow(few.repartition(shards, "digit").sortWithinPartitions("digit"), _sorter(depth), SPANS))
     if wanted.where(F.col("different") > crowd).limit(1).count():
-        single = stored(map_arrow(bytes_of(wanted.where(F.col("different") > crowd)), _windows(depth), "a long, b int, start int, high long, low long"), "windows")
-        again = single.groupBy("high", "low").agg(F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
-        spans = spans.unionByName(single.join(again, ["high", "low"]).select("a", "b", "start", (F.col("start") + depth).cast("int").alias("stop")))
-    out = stored(spans, "spans")
+        spans = spans.unionByName(_dealt_passes(bytes_of(wanted.where(F.col("different") > crowd)), depth))
+    # rows that repeat a document have its spans more than once: one of each start leaves a task
+    spans = spans.groupBy("a", "b", "start").agg(F.max("stop").alias("stop"))
+    out = stored(map_arrow(spans.repartition(shards, "a", "b").sortWithinPartitions("a", "b", "start"), _merger, SPANS), "spans")
     release(spark)
     return out
 
 
-def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Maximal spans: overlapping and touching ones joined."""
-    out: list[tuple[int, int]] = []
-    for start, stop in sorted(spans):
-        if out and start <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], stop))
-        else:
-            out.append((start, stop))
-    return out
-
-
 def remove_repeats(docs: DataFrame, depth: int = DEPTH, gram: int = GRAM, crowd: int = CROWD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per document: doc_id, n_bytes, the removed spans and the kept bytes."""
     spans = repeated_spans(docs, depth, gram, crowd, id_col, text_col)
-    of_doc = spans.groupBy("a", "b").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    of_doc = spans.groupBy("a", "b").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("spans"))
     rows = _located(docs, id_col, text_col).join(of_doc, ["a", "b"], "left")
 
     def run(batch):
         ids, texts = batch.column("doc_id"), encoded(batch.column("text"))
         removed, kept = [], []
         for text, spans in zip(texts, batch.column("spans").to_pylist()):
-            own, at, left = merged([(s["start"], s["stop"]) for s in spans or ()]), 0, []
+            own, at, left = [(s["start"], s["stop"]) for s in spans or ()], 0, []
             for start, stop in own:
                 left.append(text[at:start])
                 at = stop
