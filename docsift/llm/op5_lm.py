@@ -10,9 +10,11 @@ Model.  States emit word classes: the most frequent words are classes of their o
 all others fall into a fixed number of classes by the hash of their last three bytes.
 Within its class a word has the probability (c + 1) / (N_class + V_class + 1).  The
 model's size is so fixed, whatever the vocabulary.  Baum-Welch: a bounded sample
-gives a first model on the driver; after that every round is one pass over all
-training documents, whose expected counts are summed within each task and then
-across tasks.  For training, documents are cut into runs of fixed length.
+(whole documents of at most SAMPLE_TOKENS // 10 tokens) gives a first model on the
+driver; after that every round is one pass over all whole training documents, whose
+expected counts are summed within each task and then across tasks, until the
+likelihood of the corpus settles.  Forward values are kept at every STRIDE-th token
+and computed again between them, so memory doesn't grow with a document's length.
 
 Score.  The scaled forward recursion over the whole uncut document, plus the words'
 probabilities within their classes: the exact probability of the text in the model.
@@ -21,13 +23,15 @@ Held-out documents have crc32(doc_id as text) mod 7 = 2; the others train.
 
 Defined cases: null text counts as empty, a sequence of the end token alone; a null
 doc_id counts as the empty text in crc32; repeated rows count each; with no training
-documents c = N = V = 0 and the model is uniform; an empty table gives no rows; extra
-columns are ignored.
+documents c = N = V = 0 and the model is uniform; a very long text is one sequence; of
+equally frequent words the first in byte order is a class of its own; an empty table
+gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import pickle
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +43,12 @@ from docsift.llm.common import LOWER, blocks, crc_mod, discard, encoded, map_arr
 
 STATES, TOP, TAILS = 8, 4000, 1024
 CLASSES = TOP + TAILS
-RUN = 64
-#: Rounds over the bounded sample on the driver, its documents and tokens, and rounds over all documents.
-FIRST_ROUNDS, SAMPLE_DOCS, SAMPLE_TOKENS, ROUNDS = 15, 1500, 300_000, 2
+#: Forward values are kept so many tokens apart; tokens that are worked on in step at about.
+STRIDE, TOKENS_AT_ONCE = 512, 400_000
+#: Rounds over the bounded sample on the driver, its documents and tokens.
+FIRST_ROUNDS, SAMPLE_DOCS, SAMPLE_TOKENS = 15, 1500, 300_000
+#: Rounds over all documents go on while a token's mean log likelihood (natural) grows by more than SETTLED, ROUNDS at most.
+ROUNDS, SETTLED = 4, 0.002
 SEGMENT_BYTES, SEGMENT_WORDS, BLOCK = 16 << 20, 400_000, 2 << 20
 END = b""
 
@@ -138,7 +145,8 @@ def sequences(segments: DataFrame, counts: DataFrame, top: DataFrame, lexicon: L
     nothing = F.lit(None).cast("binary").alias("documents")
     known = _class_of(top, words).select("seg", F.lit(0).alias("kind"), "at", F.coalesce("c", F.lit(0)).cast("long").alias("c"), "class", nothing)
     held = segments.select("seg", F.lit(1).alias("kind"), F.lit(0).alias("at"), F.lit(0).cast("long").alias("c"), F.lit(0).alias("class"), "documents")
-    shards = max(1, int(segments.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # a few segments a task, however many there are
+    shards = max(int(segments.sparkSession.conf.get("spark.sql.shuffle.partitions")), segments.count() // 4, 1)
     rows = known.unionByName(held).repartition(shards, "seg").sortWithinPartitions("seg", "kind")
     class_n, class_v, n, v = lexicon.class_n, lexicon.class_v, lexicon.n, lexicon.v
 
@@ -202,40 +210,58 @@ class Hmm:
         move, start = move + 0.1, start + 0.1
         return cls(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
 
-    def expected(self, runs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Expected counts (start, move, emit) over class sequences of at most RUN tokens, all in step."""
-        runs = sorted(runs, key=len, reverse=True)
-        lengths = np.array([len(r) for r in runs])
-        grid = np.zeros((len(runs), int(lengths[0])), np.int64)
-        for i, r in enumerate(runs):
-            grid[i, : len(r)] = r
-        active = [int(np.searchsorted(-lengths, -t, "left")) for t in range(grid.shape[1])]
-        emit, move = self.emit.astype(np.float32), self.move.astype(np.float32)
-        seen, alpha = [], []
-        for t, n in enumerate(active):
-            seen.append(emit[grid[:n, t]])
-            a = (self.start.astype(np.float32) if not t else alpha[-1][:n] @ move) * seen[-1]
-            a /= a.sum(axis=1, keepdims=True)
-            alpha.append(a)
-        moves = np.zeros((STATES, STATES))
-        gammas = [None] * len(active)
+    def expected(self, docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Expected counts (start, move, emit) over whole class sequences, all in step, and their log likelihood with the number of tokens."""
+        docs = sorted(docs, key=len, reverse=True)
+        lengths = np.array([len(d) for d in docs])
+        flat, starts = np.concatenate(docs), np.cumsum(lengths) - lengths
+        longest = int(lengths[0])
+        active = np.searchsorted(-lengths, -np.arange(longest), "left")
+        emit, move, first = self.emit.astype(np.float32), self.move.astype(np.float32), self.start.astype(np.float32)
+        moves, gammas, emits = np.zeros((STATES, STATES)), None, np.zeros((CLASSES, STATES))
+        kept, total = [], 0.0
+
+        def forward(lo, hi, alpha, likelihood=False):
+            """Scaled forward values of tokens lo..hi - 1 after alpha, with what each token emits."""
+            nonlocal total
+            alphas, seen = [], []
+            for t in range(lo, hi):
+                n = active[t]
+                seen.append(emit[flat[starts[:n] + t]])
+                alpha = (alpha[:n] @ move if t else np.broadcast_to(first, (n, STATES))) * seen[-1]
+                scale = alpha.sum(axis=1, keepdims=True)
+                alpha = alpha / scale
+                if likelihood:
+                    total += float(np.log(scale).sum())
+                alphas.append(alpha)
+            return alphas, seen
+
+        alpha = None
+        for lo in range(0, longest, STRIDE):
+            kept.append(alpha)
+            alpha = forward(lo, min(lo + STRIDE, longest), alpha, True)[0][-1]
         beta = np.ones((active[-1], STATES), np.float32)
-        for t in range(len(active) - 1, -1, -1):
-            if len(beta) < active[t]:
-                beta = np.concatenate([beta, np.ones((active[t] - len(beta), STATES), np.float32)])
-            g = alpha[t] * beta
-            g /= g.sum(axis=1, keepdims=True)
-            gammas[t] = g
-            if t:
-                after = seen[t] * beta
-                before = after @ move.T
-                scale = (alpha[t - 1][: len(after)] * before).sum(axis=1, keepdims=True)
-                moves += (alpha[t - 1][: len(after)] / scale).T @ after
-                beta = before / before.max(axis=1, keepdims=True)
-        symbols = np.concatenate([grid[:n, t] for t, n in enumerate(active)])
-        gamma = np.concatenate(gammas)
-        emits = np.stack([np.bincount(symbols, weights=gamma[:, s], minlength=CLASSES) for s in range(STATES)], axis=1)
-        return gammas[0].sum(axis=0, dtype=np.float64), moves * self.move, emits
+        for k in range(len(kept) - 1, -1, -1):
+            lo, hi = k * STRIDE, min((k + 1) * STRIDE, longest)
+            alphas, seen = forward(lo, hi, kept[k])
+            gamma = [None] * (hi - lo)
+            for t in range(hi - 1, lo - 1, -1):
+                own = alphas[t - lo]
+                if len(beta) < len(own):
+                    beta = np.concatenate([beta, np.ones((len(own) - len(beta), STATES), np.float32)])
+                g = own * beta
+                gamma[t - lo] = g = g / g.sum(axis=1, keepdims=True)
+                if t:
+                    before = (alphas[t - lo - 1] if t > lo else kept[k])[: len(own)]
+                    after = seen[t - lo] * beta
+                    back = after @ move.T
+                    moves += (before / (before * back).sum(axis=1, keepdims=True)).T @ after
+                    beta = back / back.max(axis=1, keepdims=True)
+            gammas = gamma[0]
+            symbols = np.concatenate([flat[starts[: active[t]] + t] for t in range(lo, hi)])
+            gamma = np.concatenate(gamma)
+            emits += np.stack([np.bincount(symbols, weights=gamma[:, s], minlength=CLASSES) for s in range(STATES)], axis=1)
+        return gammas.sum(axis=0, dtype=np.float64), moves * self.move, emits, np.array([total, len(flat)])
 
     def log10(self, docs: list[np.ndarray]) -> np.ndarray:
         """Exact log10 probabilities of whole class sequences by the scaled forward recursion, all in step."""
@@ -259,23 +285,25 @@ class Hmm:
         return out
 
 
-def _runs(column: pa.Array) -> list[np.ndarray]:
-    out = []
-    for data in column.to_pylist():
-        own = _unplaned(data, 2)
-        out += [own[i : i + RUN] for i in range(0, len(own), RUN)]
-    return out
+def _grouped(docs: list[np.ndarray], tokens: int = TOKENS_AT_ONCE) -> Iterator[list[np.ndarray]]:
+    """Documents of like length together, about so many tokens at once."""
+    docs = sorted(docs, key=len, reverse=True)
+    ends = np.cumsum([len(d) for d in docs])
+    lo = 0
+    while lo < len(docs):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + tokens, "right")))
+        yield docs[lo:hi]
+        lo = hi
 
 
-def _round(rows: DataFrame, model: Hmm) -> Hmm | None:
-    """One Baum-Welch round over all training rows; each task sums its own counts, Spark sums the tasks'."""
+def _round(rows: DataFrame, model: Hmm) -> tuple[Hmm, float] | None:
+    """One Baum-Welch round over all training rows, and a token's mean log likelihood before it; each task sums its own counts, Spark sums the tasks'."""
 
     def run(batches):
         total = None
         for batch in batches:
-            runs = _runs(batch.column(0))
-            for lo in range(0, len(runs), 8192):
-                got = model.expected(runs[lo : lo + 8192])
+            for docs in _grouped([_unplaned(d, 2) for d in batch.column(0).to_pylist()]):
+                got = model.expected(docs)
                 total = got if total is None else [a + b for a, b in zip(total, got)]
         if total is not None:
             flat = np.concatenate([x.ravel() for x in total])
@@ -285,29 +313,37 @@ def _round(rows: DataFrame, model: Hmm) -> Hmm | None:
     got = sums.collect()  # as many rows as the model has parameters
     if not got:
         return None
-    flat = np.zeros(STATES + STATES * STATES + CLASSES * STATES)
+    flat = np.zeros(STATES + STATES * STATES + CLASSES * STATES + 2)
     for r in got:
         flat[r["at"]] = r["x"]
-    start, move, emit = np.split(flat, [STATES, STATES + STATES * STATES])
-    return Hmm.from_counts(start, move.reshape(STATES, STATES), emit.reshape(CLASSES, STATES))
+    start, move, emit, likelihood = np.split(flat, np.cumsum([STATES, STATES * STATES, CLASSES * STATES]))
+    return Hmm.from_counts(start, move.reshape(STATES, STATES), emit.reshape(CLASSES, STATES)), float(likelihood[0] / likelihood[1])
 
 
 def train(rows: DataFrame, lexicon: Lexicon) -> Hmm:
-    """Baum-Welch: a first model from a bounded sample, then rounds over all training documents."""
+    """Baum-Welch: a first model from a bounded sample of whole documents, then rounds over all training documents until their likelihood settles."""
     model = Hmm.first((lexicon.class_n + 1)[:, None] / (lexicon.n + CLASSES))
-    chosen = rows.where("not held_out").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
-    ids = [r["doc_id"] for r in chosen.collect() if r["doc_id"] is not None]
-    sample = []
-    if ids:
-        for r in rows.where(F.col("doc_id").isin(ids)).where("not held_out").orderBy(F.xxhash64("doc_id"), "doc_id", "classes").where(F.col("n_tokens") <= SAMPLE_TOKENS // 10).select("classes").limit(SAMPLE_DOCS).toLocalIterator():
-            own = _unplaned(bytes(r["classes"]), 2)
-            sample += [own[i : i + RUN] for i in range(0, len(own), RUN)]
-            if sum(map(len, sample)) >= SAMPLE_TOKENS:
-                break
+    place = F.xxhash64("doc_id", "n_tokens", "base_score")
+    short = rows.where((~F.col("held_out")) & (F.col("n_tokens") <= SAMPLE_TOKENS // 10)).withColumn("place", place)
+    least = [r["place"] for r in short.select("place").orderBy("place").limit(SAMPLE_DOCS).collect()]
+    chosen = short.where(F.col("place") <= F.lit(max(least, default=0))).orderBy("place").select("classes").limit(SAMPLE_DOCS)
+    sample, size = [], 0
+    for r in chosen.toLocalIterator() if least else ():
+        sample.append(_unplaned(bytes(r["classes"]), 2))
+        size += len(sample[-1])
+        if size >= SAMPLE_TOKENS:
+            break
     for _ in range(FIRST_ROUNDS if sample else 0):
-        model = Hmm.from_counts(*model.expected(sample))
+        model = Hmm.from_counts(*model.expected(sample)[:3])
+    before = -np.inf
     for _ in range(ROUNDS):
-        model = _round(rows, model) or model
+        got = _round(rows, model)
+        if got is None:
+            break
+        model, likelihood = got
+        if likelihood - before < SETTLED:
+            break
+        before = likelihood
     return model
 
 
