@@ -4,8 +4,9 @@ A linear support vector machine for each family of related languages (one agains
 the rest) predicts the family; within it, a machine for each pair of languages (one
 versus one) votes.  Features are hashed byte trigrams of the lower-cased letters of
 the whole text.  Machines are trained in numpy on a bounded sample of labelled rows:
-at most `per_language` texts of each language (those with the least hash of doc_id),
-each as a fixed-length vector.  Every label is learned: where there are many, a
+at most `per_language` texts of each language (those with the least hashes of doc_id,
+then of the text, so the sample is the same however rows arrive), each as a
+fixed-length vector.  Every label is learned: where there are many, a
 language's share of SAMPLE_ROWS shrinks, but not below LEAST texts, so what the driver
 gathers grows with the number of languages alone.
 
@@ -15,8 +16,10 @@ share of the votes' probabilities, between 0 and 1.
 
 Defined cases: `und` with score 0 where the text is null or has no letter, and for
 every text when no labelled row can be learned from; a null doc_id counts as the
-empty text in crc32; null labels are not learned; repeated rows are predicted each;
-an empty table gives no rows; extra columns are ignored.
+empty text in crc32 and is not learned from; null labels are not learned; repeated rows
+are predicted each and learned once; a very long text is one vector; of equal votes or
+families the first in order of code wins; an empty table gives no rows; extra columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -128,27 +131,27 @@ class Model:
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     """Train on a bounded sample of the labelled rows whose checksum allows learning."""
-    known = docs.where((crc_mod(F.col("doc_id"), 5) != 0) & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "lang")
+    known = docs.where((crc_mod(F.col("doc_id"), 5) != 0) & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
     counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
-    per_language = min(per_language, max(LEAST, SAMPLE_ROWS // max(1, len(counts))))
+    if not counts:
+        return None
+    per_language = min(per_language, max(LEAST, SAMPLE_ROWS // len(counts)))
     # a slice of each language's hash range holds a few times what is wanted; so few rows meet when the least are picked
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
     slices = [(v, int((1 << 30) * min(1.0, 4 * (per_language + 16) / n))) for v, n in counts.items()]
     slices = docs.sparkSession.createDataFrame(slices, "lang string, slice long")
-    some = known.withColumn("place", place).join(F.broadcast(slices), "lang").where("slice > place").select("doc_id", "lang", "place")
-    least = F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id"))
-    chosen = some.withColumn("n", least).where(F.col("n") <= per_language).select("doc_id").distinct()
+    some = known.select("doc_id", "lang", place.alias("place"), F.xxhash64("text").alias("h")).join(F.broadcast(slices), "lang").where("slice > place").select("doc_id", "lang", "place", "h")
+    least = F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id", "h"))
+    chosen = some.withColumn("n", least).where(F.col("n") <= per_language).select("doc_id", "lang", "h").distinct()
 
     def run(batch):
         rows = [(v, features(t).tobytes()) for t, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if has_letter(t)]
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.binary())], names=["lang", "x"])
 
-    # at most per_language ids of each language, so the broadcast is bounded
-    rows = docs.join(F.broadcast(chosen), "doc_id", "left_semi").where(F.col("lang").isNotNull()).select("text", "lang")
-    got = map_arrow(rows, per_batch(run), "lang string, x binary").limit(2 * max(SAMPLE_ROWS, per_language * len(counts))).collect()
-    if not got:
-        return None
-    return Model(np.stack([np.frombuffer(bytes(r["x"]), np.float32) for r in got]), [r["lang"] for r in got])
+    # at most per_language keys of each language are broadcast; rows that repeat one are dropped before features are made
+    rows = docs.select("doc_id", "lang", F.xxhash64("text").alias("h"), "text").join(F.broadcast(chosen), ["doc_id", "lang", "h"], "left_semi").dropDuplicates(["doc_id", "lang", "h"])
+    got = sorted((r["lang"], bytes(r["x"])) for r in map_arrow(rows.select("text", "lang"), per_batch(run), "lang string, x binary").collect())
+    return Model(np.stack([np.frombuffer(x, np.float32) for _, x in got]), [v for v, _ in got]) if got else None
 
 
 def predict(docs: DataFrame, model: Model | None, text_col: str = "text", lang_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
