@@ -1,19 +1,24 @@
 """Operator 7: secret scans with rules and a character convolutional network.
 
-Three rules find base spans.  Every other candidate, a long run of token characters
-with a digit and a letter, is read with its surroundings by a small convolutional
-network in numpy (character embedding by lookup, one convolution, max pooling, one
-output).  It is trained on labelled findings: rule spans are positives, ordinary
-runs negatives, a bounded sample of each.  Its scores are calibrated (a logistic fit
-on findings held back from training), and the threshold is the highest that keeps
-the required recall on those, so the network adds spans and never removes a rule's.
+Three rules find base spans.  Every other candidate, a run of token characters that
+base spans leave over, is read with its surroundings by a small convolutional network
+in numpy (character embedding by lookup, one convolution, max pooling, one output).
+
+Training.  Labelled findings are rule spans (1, an assignment without its keyword) and
+ordinary runs (0); the network learns from a bounded sample of them, whole findings in
+overlapping windows.  Calibration and thresholds cover all data: one pass scores every
+labelled finding of the corpus that is kept from training into histograms, summed
+across tasks; a logistic fit of these calibrates, and the threshold is the highest at
+which each kind of rule keeps the required recall.  The network adds spans and never
+removes a rule's.
 
 Base spans are code points, end exclusive, of the whole match.  Long candidates are
 read in overlapping windows, and the best window counts.
 
 Defined cases: null text counts as empty, without spans; with too few labelled
-findings the network adds nothing; repeated rows are scanned each; an empty table
-gives no rows; extra columns are ignored.
+findings the network adds nothing; ties in the sample's order are broken by the windows
+themselves; repeated rows are scanned each; a very long text is scanned whole; an empty
+table gives no rows; extra columns are ignored, and redact keeps them.
 """
 
 from __future__ import annotations
@@ -23,10 +28,11 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsift.llm.common import map_arrow, per_batch, table
+from docsift.llm.common import discard, map_arrow, per_batch, stored, table
 
 # The rules, each with the least length that counts.
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -35,14 +41,20 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 _WORDS = ("pass", "secret", "token", "key")
 KINDS = ("assign", "access", "hex", "net")
 
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 _RUN = re.compile(r"[A-Za-z0-9+/_=.-]{6,}")
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]+")
+#: The least length of a candidate; shorter ones that no rule finds are words, numbers and names.
+LEAST = 12
 SIDE, BODY, STEP = 24, 48, 24
 _LENGTH = 2 * SIDE + BODY
 _CLASSES = 2 * 130
-#: The bounded sample: documents read for findings, and findings of each label.
+#: The bounded training sample: documents read for findings, and findings' windows of each label.
 TRAIN_DOCS, TRAIN_ROWS = 20_000, 1500
 RECALL = 0.98
+#: Of the findings, by hash, one in SHARES calibrates and never trains; the others may train.
+SHARES = 3
+#: Bins of the score histograms, over raw scores from -RANGE to RANGE.
+BINS, RANGE = 2048, 32.0
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -57,18 +69,30 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def _left_over(start: int, end: int, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The parts of a span that base spans (in order) don't cover."""
+    parts = []
+    for s, _, e in base:
+        if e <= start or s >= end:
+            continue
+        if s > start:
+            parts.append((start, s))
+        start = max(start, e)
+    return [*parts, (start, end)] if start < end else parts
+
+
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Runs of 16 or more token characters with a digit and a letter that overlap no base span."""
-    taken = iter(base)
-    found, at = [], next(taken, None)
+    """What base spans leave of runs of token characters, where it is long enough and holds a digit and a letter."""
+    found, at = [], 0
     for m in _CANDIDATE.finditer(text):
-        run = m[0]
-        if not (any(c.isdigit() for c in run) and any(c.isalpha() for c in run)):
+        if m.end() - m.start() < LEAST:
             continue
-        while at is not None and at[2] <= m.start():
-            at = next(taken, None)
-        if at is None or at[0] >= m.end():
-            found.append(m.span())
+        while at < len(base) and base[at][2] <= m.start():
+            at += 1
+        for start, end in _left_over(m.start(), m.end(), base[at:]) if at < len(base) and base[at][0] < m.end() else [m.span()]:
+            run = text[start:end]
+            if len(run) >= LEAST and any(map(str.isdigit, run)) and any(map(str.isalpha, run)):
+                found.append((start, end))
     return found
 
 
@@ -78,7 +102,7 @@ def windows(text: str, start: int, end: int) -> np.ndarray:
     for lo in range(start, max(start + 1, end - BODY + STEP), STEP):
         hi = min(lo + BODY, end)
         row = np.full(_LENGTH, 129, np.int16)
-        for base, first, piece, inside in ((SIDE - len(text[max(0, lo - SIDE) : lo]), 0, text[max(0, lo - SIDE) : lo], 0), (SIDE, 0, text[lo:hi], 130), (SIDE + hi - lo, 0, text[hi : hi + SIDE], 0)):
+        for base, piece, inside in ((SIDE - len(text[max(0, lo - SIDE) : lo]), text[max(0, lo - SIDE) : lo], 0), (SIDE, text[lo:hi], 130), (SIDE + hi - lo, text[hi : hi + SIDE], 0)):
             if piece:
                 row[base : base + len(piece)] = np.minimum(np.frombuffer(piece.encode("utf-32-le", "replace"), "<u4"), 128).astype(np.int16) + inside
         rows.append(row)
@@ -98,7 +122,7 @@ class Net:
         self.b = np.zeros(self.FILTERS, np.float32)
         self.v = rng.normal(0, 0.1, self.FILTERS).astype(np.float32)
         self.c = np.float32(0)
-        self.scale, self.shift, self.threshold = 1.0, 0.0, 2.0
+        self.scale, self.shift, self.least = 1.0, 0.0, np.inf
 
     def _pool(self, x):
         span = x.shape[1] - self.WIDTH + 1
@@ -110,10 +134,18 @@ class Net:
         parts = [self._pool(x[i : i + 512])[0] @ self.v + self.c for i in range(0, len(x), 512)]
         return np.concatenate(parts).astype(np.float64) if parts else np.empty(0)
 
+    @property
+    def threshold(self) -> float:
+        """The least probability of a secret."""
+        return float(self._sigmoid(self.least))
+
+    def _sigmoid(self, z):
+        return 1 / (1 + np.exp(-np.clip(self.scale * z + self.shift, -60, 60)))
+
     def probability(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.scale * self.raw(x) + self.shift, -60, 60)))
+        return self._sigmoid(self.raw(x))
 
-    def train(self, x: np.ndarray, y: np.ndarray, rounds: int = 6, seed: int = 7) -> None:
+    def train(self, x: np.ndarray, y: np.ndarray, rounds: int = 30, seed: int = 7) -> None:
         rng = np.random.default_rng(seed)
         rate = 0.5
         for _ in range(rounds):
@@ -130,56 +162,104 @@ class Net:
                 f = np.broadcast_to(np.arange(self.FILTERS), at.shape)
                 for k in range(self.WIDTH):
                     np.add.at(self.w[k], (np.take_along_axis(x[part], at + k, 1), f), -rate * back)
-            rate *= 0.7
-
-    def calibrate(self, x: np.ndarray, y: np.ndarray, recall: float) -> None:
-        """Logistic fit of the scores, then the highest threshold with at least this recall on the positives."""
-        z = self.raw(x)
-        a, b = 1.0, 0.0
-        for _ in range(200):
-            p = 1 / (1 + np.exp(-np.clip(a * z + b, -60, 60)))
-            a -= 0.1 * float(((p - y) * z).mean() / max(1.0, (z * z).mean()))
-            b -= 0.1 * float((p - y).mean())
+            rate *= 0.93
+
+    def calibrate(self, counts: np.ndarray, recall: float) -> None:
+        """From histograms of raw scores (row 0: negatives, others: kinds of positives), a logistic fit, and the highest threshold at which every kind keeps this recall."""
+        z = (np.arange(BINS) + 0.5) * (2 * RANGE / BINS) - RANGE
+        positive, all_of = counts[1:].sum(axis=0), counts.sum(axis=0)
+        total, a, b = max(1.0, all_of.sum()), 1.0, 0.0
+        size = max(1.0, float((all_of * z * z).sum() / total))
+        for _ in range(500):
+            error = all_of / (1 + np.exp(-np.clip(a * z + b, -60, 60))) - positive
+            a -= 0.5 * float((error * z).sum() / total / size)
+            b -= 0.5 * float(error.sum() / total)
         self.scale, self.shift = max(a, 1e-3), b
-        positive = np.sort(self.probability(x[y == 1]))
-        self.threshold = max(0.5, float(positive[int((1 - recall) * len(positive))]))
+        edges = np.arange(BINS) * (2 * RANGE / BINS) - RANGE
+        for kind in counts[1:]:
+            if kind.sum():
+                reached = np.cumsum(kind[::-1])[::-1] >= recall * kind.sum()
+                self.least = min(self.least, float(edges[np.flatnonzero(reached)[-1]]))
+
+
+def _labelled(text: str) -> list[tuple[int, int, int]]:
+    """Findings (label, start, end) of a text: rule spans by kind from 1, an assignment without its keyword, and the ordinary runs (0)."""
+    base = base_spans(text)
+    found = [(kind + 1, _ASSIGN.match(text, start).start(2) if kind == 0 else start, end) for start, kind, end in base]
+    at = 0
+    for m in _RUN.finditer(text):
+        while at < len(base) and base[at][2] <= m.start():
+            at += 1
+        if at == len(base) or base[at][0] >= m.end():
+            found.append((0, *m.span()))
+    return found
+
+
+def _digest(text: str, start: int, end: int) -> int:
+    """A hash of a finding with its surroundings; it says whether the finding trains."""
+    return xxhash.xxh3_64_intdigest(text[max(0, start - SIDE) : end + SIDE].encode("utf-8", "replace"))
 
 
 def _findings(batch):
-    """Labelled findings of a batch: windows of rule spans (1) and of a few ordinary runs a text (0)."""
+    """Windows of a batch's findings that may train: rule spans, and of ordinary runs those two a text with the least hashes."""
     rows = []
     for text in batch.column(0).to_pylist():
         if not text:
             continue
-        base = base_spans(text)
-        for start, kind, end in base:
-            if kind == 0:  # the value without its keyword: rules find the keyword, the network must not need it
-                start = _ASSIGN.match(text, start).start(2)
-            rows.append((1, text[max(0, start - SIDE) : end + SIDE], windows(text, start, end)[0]))
-        runs = [m.span() for m in _RUN.finditer(text) if not any(s < m.end() and m.start() < e for s, _, e in base)]
-        runs.sort(key=lambda r: hashlib.blake2b(text[r[0] : r[1]].encode(), digest_size=8).digest())
-        rows += [(0, text[max(0, s - SIDE) : e + SIDE], windows(text, s, e)[0]) for s, e in runs[:2]]
-    order = [int.from_bytes(hashlib.blake2b(r[1].encode(), digest_size=8).digest(), "little", signed=True) for r in rows]
-    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array(order, pa.int64()), pa.array([r[2].astype("<i2").tobytes() for r in rows], pa.binary())], names=["label", "place", "x"])
+        found = sorted((_digest(text, s, e), label, s, e) for label, s, e in _labelled(text))
+        ordinary = [f for f in found if f[1] == 0 and f[0] % SHARES][:2]
+        for h, label, s, e in [*(f for f in found if f[1] and f[0] % SHARES), *ordinary]:
+            rows += [(min(label, 1), h - (1 << 63), w.astype("<i2").tobytes()) for w in windows(text, s, e)]
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int32(), pa.int64(), pa.binary()))], names=["label", "place", "x"])
+
+
+def _histograms(net: Net):
+    """Per task, counts of (label, bin) of the raw scores of all findings kept from training; a finding's best window counts."""
+
+    def run(batches):
+        counts = np.zeros((4, BINS), np.int64)
+        for batch in batches:
+            held, labels = [], []
+            for text in batch.column(0).to_pylist():
+                for label, s, e in _labelled(text) if text else ():
+                    # all rule spans; of the far more numerous ordinary runs those that scan() would read
+                    if (label or e - s >= LEAST) and _digest(text, s, e) % SHARES == 0:
+                        held.append(windows(text, s, e))
+                        labels.append(label)
+                if len(held) >= 4096:
+                    _count(net, held, labels, counts)
+                    held, labels = [], []
+            _count(net, held, labels, counts)
+        label, place = np.nonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(label.astype(np.int32)), pa.array(place.astype(np.int32)), pa.array(counts[label, place])], names=["label", "bin", "n"])
+
+    return run
+
+
+def _count(net: Net, held: list[np.ndarray], labels: list[int], counts: np.ndarray) -> None:
+    if held:
+        raw = net.raw(np.concatenate(held).astype(np.int64))
+        best = np.maximum.reduceat(raw, np.cumsum([0, *map(len, held[:-1])]))
+        np.add.at(counts, (np.array(labels), np.clip(((best + RANGE) * (BINS / (2 * RANGE))).astype(np.int64), 0, BINS - 1)), 1)
 
 
 def fit(docs: DataFrame, text_col: str = "text", train_docs: int = TRAIN_DOCS, train_rows: int = TRAIN_ROWS) -> Net | None:
-    """Train, calibrate and set the threshold on a bounded sample of labelled findings; None where they are too few."""
+    """Train on a bounded sample of labelled findings, calibrate and set the threshold on all findings kept from training; None where there are too few."""
     texts = docs.select(F.col(text_col).alias("text"))
     share = min(1.0, train_docs / max(1, docs.count()))
     some = texts.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000)) if share < 1 else texts
-    found = map_arrow(some, per_batch(_findings), "label int, place long, x binary").distinct()
+    found = stored(map_arrow(some, per_batch(_findings), "label int, place long, x binary").distinct(), "findings")
     got = [r for label in (1, 0) for r in found.where(F.col("label") == label).orderBy("place", "x").limit(train_rows).collect()]
+    discard(found)
     y = np.array([r["label"] for r in got], np.float32)
     if len(got) < 40 or y.sum() < 20 or (1 - y).sum() < 20:
         return None
-    x = np.stack([np.frombuffer(bytes(r["x"]), "<i2") for r in got]).astype(np.int64)
-    held = np.random.default_rng(11).random(len(y)) < 0.3
-    if not (y[held] == 1).any() or not (y[~held] == 1).any():
-        return None
     net = Net()
-    net.train(x[~held], y[~held])
-    net.calibrate(x[held], y[held], RECALL)
+    net.train(np.stack([np.frombuffer(bytes(r["x"]), "<i2") for r in got]).astype(np.int64), y)
+    counts = np.zeros((4, BINS))
+    for r in map_arrow(texts, _histograms(net), "label int, bin int, n long").groupBy("label", "bin").agg(F.sum("n").alias("n")).collect():  # 4 x BINS rows at most
+        counts[r["label"], r["bin"]] = r["n"]
+    net.calibrate(counts, RECALL)
     return net
 
 
@@ -195,8 +275,8 @@ def scan(texts: list[str | None], net: Net | None) -> list[list[tuple[int, int,
                 rows.append(part)
                 of += [(i, start, end)] * len(part)
     if rows:
-        p = net.probability(np.concatenate(rows).astype(np.int64))
-        for i, start, end in sorted({o for o, q in zip(of, p) if q >= net.threshold}):
+        raw = net.raw(np.concatenate(rows).astype(np.int64))
+        for i, start, end in sorted({o for o, z in zip(of, raw) if z >= net.least}):
             spans[i] = [*spans[i], (start, 3, end)]
     return [sorted(s) for s in spans]
 
