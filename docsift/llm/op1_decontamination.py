@@ -9,24 +9,27 @@ start from the rarest term as well.  A document lives in one segment, so results
 need no shuffle, and a term or passage that very many documents share costs each
 segment its own part only.
 
-The test phrases are the stated query set.  Where they exceed what may be broadcast
-they are written to the shared folder in blocks, and every segment meets every block.
-An index may be restricted to the terms that will be asked for.
+The test phrases are the stated query set.  They are sent along only where the object
+built of them is proven to fit BROADCAST_BYTES; else tasks write them to the shared
+folder in blocks, and every segment meets every block.  An index may be restricted to
+the terms that will be asked for.
 
 Terms are kept as 64-bit hashes; two words would have to share one, at each place of
 a phrase where they differ, to give a false match.
 
 Defined cases: null text has no words; an item without words has no phrase; a null
 item id counts as the empty text; items that repeat an id count once; repeated rows
-are all reported; empty tables give no rows, or clean documents; extra columns are
-ignored.
+are all reported; a very long text makes a segment of its own; of equally rare terms the
+first in the phrase is looked up first; empty tables give no rows, or clean documents;
+extra columns are ignored, and drop_contaminated keeps them.
 """
 
 from __future__ import annotations
 
 import hashlib
 import pickle
-from collections.abc import Iterator
+import uuid
+from collections.abc import Iterable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -42,6 +45,8 @@ WINDOW = 10
 #: Between documents of a segment; longer than any phrase and proximity span.
 GAP = 64
 SEGMENT_BYTES = 8 << 20
+#: Bytes that what is built of a byte of test text takes at most, about: a window's hashes for every word.
+BUILT = 24
 #: Lower-cases A-Z and turns every byte that is no word character into a space.
 _WORD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -86,7 +91,7 @@ def _segment(doc_ids: list, texts: list[bytes], vocabulary: dict[bytes, int] | N
     return {"doc_ids": doc_ids, "n_words": counts.tolist(), "terms": terms.astype("<i8").tobytes(), "ends": np.cumsum(sizes).astype("<i8").tobytes(), "positions": _packed(places[order])}
 
 
-def build_index(docs: DataFrame, vocabulary: set[bytes] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def build_index(docs: DataFrame, vocabulary: Iterable[bytes] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The stored index: a row per segment. vocabulary: the only terms to keep lists of (None: all)."""
     names = None if vocabulary is None else {w: k for k, w in enumerate(sorted(vocabulary))}
 
@@ -101,9 +106,9 @@ def build_index(docs: DataFrame, vocabulary: set[bytes] | None = None, id_col: s
 
 
 class Phrases:
-    """Distinct windows of test items, by length, with the items that have each."""
+    """Distinct windows of test items, by length: (hashes of their terms, bounds, item numbers); window i has the items owners[bounds[i]:bounds[i + 1]]."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int = WINDOW):
+    def __init__(self, items: Iterable[tuple[str, bytes]], window: int = WINDOW):
         found: dict[tuple[bytes, ...], set[str]] = {}
         for name, text in items:
             own = words(text)
@@ -111,11 +116,20 @@ class Phrases:
                 found.setdefault(tuple(own[i : i + window]), set()).add(name)
         self.names = sorted({n for s in found.values() for n in s})
         number = {n: k for k, n in enumerate(self.names)}
-        self.terms = {w for p in found for w in p}
-        self.by_length: list[tuple[np.ndarray, list[np.ndarray]]] = []
+        self.terms = sorted({w for p in found for w in p})
+        hash_of = {w: term_hash(w) for w in self.terms}
+        self.by_length: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for length in sorted({len(p) for p in found}):
             own = [p for p in found if len(p) == length]
-            self.by_length.append((np.array([[term_hash(w) for w in p] for p in own], np.int64), [np.array(sorted(number[n] for n in found[p])) for p in own]))
+            owners = [sorted(number[n] for n in found[p]) for p in own]
+            self.by_length.append((np.array([[hash_of[w] for w in p] for p in own], np.int64), np.cumsum([0, *map(len, owners)]), np.array([n for o in owners for n in o], np.int32)))
+
+    def bytes(self) -> int:
+        """About what sending this object along takes."""
+        return sum(x.nbytes for part in self.by_length for x in part) + sum(len(n) + 16 for n in [*self.names, *self.terms])
+
+    def owners(self, part: tuple[np.ndarray, ...], i: int) -> list[str]:
+        return [self.names[n] for n in part[2][part[1][i] : part[1][i + 1]]]
 
 
 class Segment:
@@ -179,22 +193,32 @@ class Segment:
         return np.searchsorted(self.bases, positions, "right") - 1
 
 
-def phrase_blocks(benchmark: DataFrame, window: int = WINDOW, limit: int = BROADCAST_BYTES // 8, id_col: str = "item_id", text_col: str = "text") -> tuple[list, set[bytes] | None]:
-    """The test phrases: one block to send along where they are small, else URIs of stored blocks; and the terms, where they are few enough to restrict an index to."""
+def phrase_blocks(benchmark: DataFrame, window: int = WINDOW, limit: int = BROADCAST_BYTES, id_col: str = "item_id", text_col: str = "text") -> tuple[list, list[bytes] | None]:
+    """The test phrases: one block to send along where what is built of them takes limit bytes at most, else URIs of blocks that tasks store; and the terms, where they are few enough to restrict an index to."""
     rows = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text") + F.octet_length("item")), F.lit(0))).first()[0]
-    parts = -(-total // limit) or 1
-    if parts == 1:
-        own = Phrases([(r["item"], r["text"].encode()) for r in rows.collect()], window)
-        return [own], own.terms
-    folder, uris = run_folder(benchmark.sparkSession, "phrases"), []
-    for k in range(parts):
-        own = Phrases([(r["item"], r["text"].encode()) for r in rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(parts)) == k).toLocalIterator()], window)
-        own.terms = set()
-        uris.append(f"{folder}/{k}")
-        with files.create(uris[-1]) as out:
-            pickle.dump(own, out)
-    return uris, None
+    if total * BUILT <= limit:  # few enough to be gathered; whether they may be sent is measured on what is built of them
+        own = Phrases(((r["item"], r["text"].encode()) for r in rows.collect()), window)
+        if own.bytes() <= limit:
+            return [own], own.terms
+    parts = max(2, -(-total * BUILT // limit))
+    folder = run_folder(benchmark.sparkSession, "phrases")
+
+    def run(batches):
+        # a task's rows are those of one block or of several, which are told apart by the same hash
+        held: dict[int, list] = {}
+        for batch in batches:
+            for part, item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), encoded(batch.column(2))):
+                held.setdefault(part, []).append((item, text))
+        for part, items in held.items():
+            own, uri = Phrases(items, window), f"{folder}/{part}-{uuid.uuid4().hex}"
+            own.terms = []
+            with files.create(uri) as out:
+                pickle.dump(own, out)
+            yield pa.RecordBatch.from_pydict({"uri": [uri]})
+
+    dealt = rows.distinct().select(F.pmod(F.xxhash64("item", "text"), F.lit(parts)).cast("int").alias("part"), "item", "text").repartition(parts, "part")
+    return sorted(r["uri"] for r in stored(map_arrow(dealt, run, "uri string"), "phrase-blocks").collect()), None
 
 
 def _opened(block) -> Phrases:
@@ -214,12 +238,13 @@ def phrase_matches(index: DataFrame, phrases: list, slop: int | None = None) ->
         for row in _rows(batches):
             segment, out = Segment(row), []
             for block in map(_opened, phrases):
-                for hashes, items in block.by_length:
+                for part in block.by_length:
+                    hashes = part[0]
                     kinds = [("phrase", segment.exact(hashes))] + ([] if slop is None else [("proximity", segment.near(hashes, slop))])
                     for kind, found in kinds:
                         for i, places in found:
                             for d, p in zip(segment.document(places), places):
-                                out += [(segment.doc_ids[d], block.names[n], kind, int(p - segment.bases[d]), hashes.shape[1]) for n in items[i]]
+                                out += [(segment.doc_ids[d], name, kind, int(p - segment.bases[d]), hashes.shape[1]) for name in block.owners(part, i)]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()))], names=["doc_id", "item_id", "kind", "place", "length"])
 
@@ -235,11 +260,11 @@ def contamination(index: DataFrame, phrases: list) -> DataFrame:
             edges = np.zeros(segment.size + 1, np.int64)
             owners: dict[int, set[str]] = {}
             for block in map(_opened, phrases):
-                for hashes, items in block.by_length:
-                    for i, starts in segment.exact(hashes):
+                for part in block.by_length:
+                    for i, starts in segment.exact(part[0]):
                         edges[starts] += 1
-                        edges[starts + hashes.shape[1]] -= 1
-                        names = [block.names[n] for n in items[i]]
+                        edges[starts + part[0].shape[1]] -= 1
+                        names = block.owners(part, i)
                         for d in set(segment.document(starts).tolist()):
                             owners.setdefault(d, set()).update(names)
             covered = np.concatenate([[0], np.cumsum(np.cumsum(edges[:-1]) > 0)])
@@ -271,8 +296,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
             for lo, hi in blocks(texts, SEGMENT_BYTES):
                 segment = Segment(_segment(list(range(lo, hi)), texts[lo:hi], names))
                 for block in map(_opened, phrases):
-                    for hashes, _ in block.by_length:
-                        for _, starts in segment.exact(hashes):
+                    for part in block.by_length:
+                        for _, starts in segment.exact(part[0]):
                             clean[lo + segment.document(starts)] = False
             yield batch.filter(pa.array(clean))
 
