@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsift.llm.common import LOWER, encoded, map_arrow, per_batch, release, stored, table
+from docsift.llm.common import LOWER, encoded, free_name, map_arrow, per_batch, release, stored, table
 from docsift.operators.components import connected_components
 
 SHINGLE, DISTANCE = 3, 3
@@ -370,14 +370,21 @@ def near_copies(docs: DataFrame, text_col: str = "text", width: int = WORDS, sim
 
 
 def one_of_each(docs: DataFrame, width: int = WORDS, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row of each group of near copies, that of the smallest id (of equal ids, of the smallest text hash); of repeated rows one stays."""
+    """docs with one row of each group of near copies, that of the smallest id (of equal ids, of the smallest text hash).
+
+    Defined cases: null texts are copies of one another, and so are empty and wordless
+    texts; of repeated rows one stays; a null id stays only where its group has no
+    other; very long texts are compared whole; an empty table gives no rows; other
+    columns are kept as they are, whatever their names.
+    """
     roots = near_copies(docs, text_col, width, similarity)
     named = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("node")).distinct()
     placed = named.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     keepers = placed.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "node")).alias("k"))
-    keepers = keepers.select(F.xxhash64("k.id", "k.node").alias("near_dedup_key"))
-    picked = docs.withColumn("near_dedup_key", F.xxhash64(F.col(id_col), F.xxhash64(text_col))).join(keepers, "near_dedup_key", "left_semi")
-    return picked.dropDuplicates(["near_dedup_key"]).select(docs.columns)
+    key = free_name(docs, "near_dedup_key")
+    keepers = keepers.select(F.xxhash64("k.id", "k.node").alias(key))
+    picked = docs.withColumn(key, F.xxhash64(F.col(id_col), F.xxhash64(text_col))).join(keepers, key, "left_semi")
+    return picked.dropDuplicates([key]).select(docs.columns)
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
