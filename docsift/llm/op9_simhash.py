@@ -24,7 +24,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docsift.llm.common import LOWER, encoded, free_name, map_arrow, per_batch, release, stored, table
@@ -127,8 +127,10 @@ WORDS, SIMILARITY = 5, 0.8
 #: Texts whose shingles are counted to tell common ones, the count that makes one common, and the most that are told; they order prefixes and bear on time only.
 COUNTED, COMMON, TOLD = 10_000, 3, 200_000
 _PAIRS_AT_ONCE = 1 << 19
+#: Texts that each text is tested against first, texts of other groups that it is then tested against at a time, and how often so; all bear on time only, as all other pairs follow.
+HEADS, TRIES, JOININGS = 2, 8, 2
 #: Bits of a text's parities, which rule pairs out before whole sets meet.
-PARITY = 1024
+PARITY, FOLDED = 1024, 256
 
 
 def shingle_set(text: bytes, width: int = WORDS) -> np.ndarray:
@@ -200,8 +202,8 @@ def _shared(batches):
         yield pa.RecordBatch.from_arrays([pa.array([h], t) for h, t in zip(held, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()))], names=names)
 
 
-def _across(node, size, pos, group, similarity):
-    """Pairs of one key's rows, sorted by size, of different groups that sizes and places leave a chance."""
+def _across(node, size, pos, group, bits, similarity, one=0):
+    """Pairs of one key's rows, sorted by size, of different groups that sizes, places and folded parities leave a chance; one (other than 0): for each row one pair that it may have, picked by a hash of it and this number."""
     names, of = np.unique(group, return_inverse=True)
     if len(names) == 1:
         return
@@ -209,6 +211,10 @@ def _across(node, size, pos, group, similarity):
     few = np.flatnonzero(of != most)
     low = np.searchsorted(size, np.ceil(similarity * size[few] - 1e-9), "left")
     high = np.searchsorted(size, np.floor(size[few] / similarity + 1e-9), "right")
+    if one:
+        mixed = (node[few].view(np.uint64) ^ np.uint64(one)) * np.uint64(0x9E3779B97F4A7C15)
+        low = low + ((mixed ^ mixed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(20)).astype(np.int64) % (high - low)
+        high = low + 1
     many = np.cumsum(high - low)
     start = 0
     while start < len(few):
@@ -218,19 +224,22 @@ def _across(node, size, pos, group, similarity):
         j = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low[start:stop], n)
         chance = np.minimum(size[i] - pos[i], size[j] - pos[j]) >= similarity / (1 + similarity) * (size[i] + size[j]) - 1e-6
         fits = chance & (of[i] != of[j]) & ((of[j] == most) | (i < j))
+        i, j = i[fits], j[fits]
+        least = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64)
+        fits = least <= (1 - similarity) / (1 + similarity) * (size[i] + size[j]) + 1e-6
         if fits.any():
             yield np.maximum(node[i[fits]], node[j[fits]]), np.minimum(node[i[fits]], node[j[fits]])
         start = stop
 
 
-def _between(similarity: float):
-    """Rows (key, node, size, pos, group) sorted by key, size and node: pairs (src, dst) of a key whose groups differ, once a batch at most."""
+def _between(similarity: float, one: int = 0):
+    """Rows (key, node, size, pos, group, bits) sorted by key, size and node: pairs (src, dst) of a key whose groups differ, once a batch at most; one (other than 0): for each row one pair at most."""
 
     def made(rows):
-        key, node, size, pos, group = (np.concatenate(c) for c in zip(*rows))
+        key, node, size, pos, group, bits = (np.concatenate(c) for c in zip(*rows))
         ends = np.flatnonzero(np.concatenate([key[1:] != key[:-1], [True]])) + 1
         for a, b in zip(np.concatenate([[0], ends[:-1]]), ends):
-            yield from _across(node[a:b], size[a:b].astype(np.int64), pos[a:b].astype(np.int64), group[a:b], similarity)
+            yield from _across(node[a:b], size[a:b].astype(np.int64), pos[a:b].astype(np.int64), group[a:b], bits[a:b], similarity, one and (one * 1_000_003 ^ int(key[a])) & 0xFFFFFFFFFFFFFFF | 1)
 
     def said(rows):
         src, dst, n = [], [], 0
@@ -254,6 +263,7 @@ def _between(similarity: float):
             if not batch.num_rows:
                 continue
             cols = [batch.column(k).to_numpy() for k in range(5)]
+            cols.append(np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint64).reshape(batch.num_rows, -1))
             last = int(np.searchsorted(cols[0], cols[0][-1]))
             if last or (rows and rows[-1][0][-1] != cols[0][0]):
                 yield from said([*rows, [c[:last] for c in cols]])
@@ -270,6 +280,11 @@ def parity(s: np.ndarray, bits: int = PARITY) -> np.ndarray:
     return np.packbits(np.bincount((s % np.uint64(bits)).astype(np.int64), minlength=bits) & 1)
 
 
+def folded(b: bytes) -> bytes:
+    """The parities of hash mod FOLDED, from those of hash mod PARITY."""
+    return np.bitwise_xor.reduce(np.frombuffer(b, np.uint8).reshape(-1, FOLDED // 8), axis=0).tobytes()
+
+
 def _possible(similarity: float):
     """Keeps pairs whose parities and sizes allow the similarity; no similar pair is lost."""
 
@@ -277,7 +292,7 @@ def _possible(similarity: float):
         bits = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("ba", "bb")]
         least = np.bitwise_count(bits[0] ^ bits[1]).sum(axis=1, dtype=np.int64)
         fits = least <= (1 - similarity) / (1 + similarity) * (batch.column("na").to_numpy() + batch.column("nb").to_numpy()) + 1e-6
-        return pa.RecordBatch.from_arrays([batch.column("src"), batch.column("dst"), batch.column("count")], names=["src", "dst", "count"]).filter(pa.array(fits))
+        return batch.select(["src", "dst", "count"]).filter(pa.array(fits))
 
     return per_batch(run)
 
@@ -317,8 +332,9 @@ def near_copies(docs: DataFrame, text_col: str = "text", width: int = WORDS, sim
     Candidates come from an exact prefix filter: in any fixed order of all shingles, two
     sets of at least this similarity share one of their first shingles, so many as the
     similarity lets differ, and one.  The order puts common shingles last.  First each
-    text is tested against one text it shares most such shingles with; then all pairs
-    that share one, are not joined yet, and that sizes, places and parities leave a chance.
+    text is tested against HEADS texts that it shares most such shingles with, then a few
+    times against TRIES texts in other groups; then all pairs that share one, are still in
+    different groups, and that sizes, places and parities leave a chance.
     Tests are exact, on whole shingle sets.  Nothing is capped or sampled.
     """
     spark = docs.sparkSession
@@ -333,12 +349,13 @@ def near_copies(docs: DataFrame, text_col: str = "text", width: int = WORDS, sim
 
     def bits(batch):
         made = [shingle_set(t, width) for t in encoded(batch.column(1))]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array([parity(m).tobytes() for m in made], pa.binary()), pa.array([len(m) for m in made], pa.int32())], names=["node", "b", "n"])
+        parities = [parity(m).tobytes() for m in made]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(parities, pa.binary()), pa.array(map(folded, parities), pa.binary()), pa.array([len(m) for m in made], pa.int32())], names=["node", "b", "bits", "n"])
 
     def sets(batch):
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(t, width).tobytes() for t in encoded(batch.column(1))], pa.binary())], names=["node", "s"])
 
-    parities = map_arrow(texts, per_batch(bits), "node long, b binary, n int").dropDuplicates(["node"]).join(nodes.hint("merge"), "node", "left_semi")
+    parities = map_arrow(texts, per_batch(bits), "node long, b binary, bits binary, n int").dropDuplicates(["node"]).join(nodes.hint("merge"), "node", "left_semi")
     parities = stored(parities, "parities")
     release(spark)
 
@@ -346,6 +363,18 @@ def near_copies(docs: DataFrame, text_col: str = "text", width: int = WORDS, sim
         sided = pairs.join(parities.select(F.col("node").alias("src"), F.col("b").alias("ba"), F.col("n").alias("na")), "src").join(parities.select(F.col("node").alias("dst"), F.col("b").alias("bb"), F.col("n").alias("nb")), "dst")
         return stored(map_arrow(sided.select("src", "dst", "count", "ba", "na", "bb", "nb"), _possible(similarity), "src long, dst long, count long"), "possible")
 
+    def some(pairs, n, *order):
+        """The first n pairs of each text."""
+        place = F.row_number().over(Window.partitionBy("src").orderBy(*order, "dst"))
+        return pairs.withColumn("place", place).where(F.col("place") <= n).drop("place")
+
+    def grouped(links):
+        """The shared shingles with the groups so far, sorted as the sweeps want them."""
+        roots = stored(connected_components(links, lambda df: stored(df, "links")), "roots")
+        of = parities.select("node", "bits").join(roots.withColumnRenamed("root", "group"), "node", "left").withColumn("group", F.coalesce("group", "node"))
+        rows = shared.drop("head").join(of, "node")
+        return rows.select("key", "node", "size", "pos", "group", "bits").repartition(shards, "key").sortWithinPartitions("key", "size", "node")
+
     def tested(pairs):
         ends = pairs.select("src").union(pairs.select("dst")).distinct().withColumnRenamed("src", "node")
         # one text of each node leaves a task, however many copies it has; the hint keeps the plan alike at every size
@@ -356,16 +385,20 @@ def near_copies(docs: DataFrame, text_col: str = "text", width: int = WORDS, sim
         return stored(map_arrow(sided.select("src", "dst", "sa", "sb"), _alike(similarity), "src long, dst long"), "alike")
 
     heads = shared.where("node != head").groupBy(F.greatest("node", "head").alias("src"), F.least("node", "head").alias("dst"), "node").count()
-    heads = possible(heads.groupBy("src", "dst").agg(F.sum("count").alias("count")))
-    one = heads.groupBy("src").agg(F.max(F.struct("count", "dst")).alias("most")).select("src", F.col("most.dst").alias("dst"))
-    one = stored(one, "candidates")
-    alike = tested(one)
-    roots = stored(connected_components(alike, lambda df: stored(df, "links")), "roots")
-    grouped = shared.drop("head").join(roots.withColumnRenamed("root", "group"), "node", "left").withColumn("group", F.coalesce("group", "node"))
-    grouped = grouped.select("key", "node", "size", "pos", "group").repartition(shards, "key").sortWithinPartitions("key", "size", "node")
-    left = stored(map_arrow(grouped, _between(similarity), "src long, dst long").distinct().join(one, ["src", "dst"], "left_anti"), "open-pairs")
+    heads = heads.groupBy("src", "dst").agg(F.sum("count").alias("count"))
+    alike = tested(stored(some(possible(heads), HEADS, F.desc("count")).select("src", "dst"), "candidates"))
+    for k in range(1, JOININGS + 1):
+        found = map_arrow(grouped(alike), _between(similarity, one=k), "src long, dst long").distinct()
+        found = stored(some(found, TRIES, F.xxhash64("src", "dst")).withColumn("count", F.lit(0).cast("long")), "candidates")
+        more = tested(possible(found).select("src", "dst"))
+        release(spark)
+        if not more.limit(1).count():
+            break
+        alike = alike.unionByName(more)
+    left = map_arrow(grouped(alike), _between(similarity), "src long, dst long").distinct()
+    left = stored(left.select("src", "dst", F.lit(0).cast("long").alias("count")), "open-pairs")
     release(spark)
-    left = possible(left.withColumn("count", F.lit(0).cast("long"))).select("src", "dst")
+    left = possible(left).select("src", "dst")
     return connected_components(alike.unionByName(tested(left)), lambda df: stored(df, "links"))
 
 
