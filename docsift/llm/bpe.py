@@ -25,6 +25,7 @@ _PIECE = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
 #: How a byte-level vocabulary writes bytes: printable Latin-1 as itself, the others from U+0100 on.
 _PRINTED = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
 _SHOWN = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+_SPACE = chr(_SHOWN[32])
 #: Chunks that one worker remembers; the memo is emptied when full.
 MEMO_ENTRIES = 500_000
 #: Characters of text encoded at once.
@@ -46,6 +47,7 @@ class Encoder:
         self._merge = self._tokenizer.model.tokenize
         #: What the library takes for one token wherever it stands.
         self._added = sorted({t.content for t in self._tokenizer.get_added_tokens_decoder().values()})
+        self._letters = [a for a in self._added if _PIECE(a)]
         self._reset()
 
     def _reset(self) -> None:
@@ -82,8 +84,10 @@ class Encoder:
             # letters alone are one piece: the model takes them as they are
             alone, mixed = [], []
             for c in missing[at : at + 8192]:
-                (alone if _PIECE(c) and not any(a in c for a in self._added) else mixed).append(c)
-            found = [[t.id for t in self._merge(c.encode().decode("latin-1").translate(_SHOWN))] for c in alone]
+                (alone if _PIECE(c) and not (self._letters and any(a in c for a in self._letters)) else mixed).append(c)
+            # of ASCII letters and a space only the space is written otherwise
+            shown = [c.replace(" ", _SPACE) if c.isascii() else c.encode().decode("latin-1").translate(_SHOWN) for c in alone]
+            found = [[t.id for t in self._merge(c)] for c in shown]
             found += [e.ids for e in self._tokenizer.encode_batch_fast(mixed, add_special_tokens=False)]
             self._add(alone + mixed, np.fromiter(chain.from_iterable(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)))
         return np.fromiter(map(memo.__getitem__, chunks), np.int64, len(chunks))
