@@ -27,7 +27,7 @@ _PRINTED = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <=
 _SHOWN = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 _SPACE = chr(_SHOWN[32])
 #: Chunks that one worker remembers; the memo is emptied when full.
-MEMO_ENTRIES = 500_000
+MEMO_ENTRIES = 300_000
 #: Characters of text encoded at once.
 BLOCK_BYTES = 4 << 20
 

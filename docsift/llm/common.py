@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import tempfile
 import uuid
@@ -80,9 +82,22 @@ def blocks(texts: Iterable[bytes], limit: int = BLOCK_BYTES) -> Iterator[tuple[i
         yield start, at + 1
 
 
-def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def trim() -> None:
+    """Give memory that a Python worker no longer uses back to the system: workers outlive their tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def run(batches):
+        yield from function(batches)
+        trim()
+
+    return df.mapInArrow(run, schema)
 
 
 def per_batch(function: Callable[[pa.RecordBatch], pa.RecordBatch | None]):

@@ -127,17 +127,38 @@ WORDS, SIMILARITY = 5, 0.8
 #: Texts whose shingles are counted to tell common ones, the count that makes one common, and the most that are told; they order prefixes and bear on time only.
 COUNTED, COMMON, TOLD = 10_000, 3, 200_000
 _PAIRS_AT_ONCE = 1 << 19
-#: Texts that each text is tested against first, texts of other groups that it is then tested against at a time, and how often so; all bear on time only, as all other pairs follow.
-HEADS, TRIES, JOININGS = 2, 8, 2
+#: Texts that each text is tested against first, texts of other groups that it is then tested against at a time, and how often so; they bear on time only, as all other pairs follow.
+HEADS, TRIES, JOININGS = 2, 8, 1
 #: Bits of a text's parities, which rule pairs out before whole sets meet.
 PARITY, FOLDED = 1024, 256
 
 
+class _Hashes(dict):
+    """Hashes of words, each computed once until there are too many."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= 200_000:
+            self.clear()
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
+_hash_of = _Hashes()
+_STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+
+
 def shingle_set(text: bytes, width: int = WORDS) -> np.ndarray:
-    """Sorted distinct hashes of a text's word shingles (fewer words: the whole sequence)."""
+    """Sorted distinct hashes of a text's word shingles (fewer words: the whole sequence), each of its words' hashes in order."""
     words = text.translate(LOWER).split()
-    n = max(1, len(words) - width + 1)
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(b" ".join(words[i : i + width])) for i in range(n)), np.uint64, n))
+    if not words:
+        return np.zeros(1, np.uint64)
+    own = np.fromiter(map(_hash_of.__getitem__, words), np.uint64, len(words))
+    n, width = max(1, len(words) - width + 1), min(width, len(words))
+    h = np.full(n, width, np.uint64)
+    for k in range(width):
+        h = (h ^ h >> np.uint64(31)) * _STEP + own[k : k + n]
+    h = (h ^ h >> np.uint64(29)) * _MIX
+    return np.unique(h ^ h >> np.uint64(32))
 
 
 def prefix(s: np.ndarray, common: np.ndarray, rank: np.ndarray, similarity: float) -> np.ndarray:
