@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docsift.llm.common import LOWER, encoded, free_name, map_arrow, per_batch, release, stored, table
+from docsift.llm.common import LOWER, discard, encoded, free_name, map_arrow, per_batch, release, stored, table
 from docsift.operators.components import connected_components
 
 SHINGLE, DISTANCE = 3, 3
@@ -403,7 +403,10 @@ def near_copies(docs: DataFrame, text_col: str = "text", width: int = WORDS, sim
         shingles = stored(map_arrow(wanted, per_batch(sets), "node long, s binary"), "shingle-sets")
         release(spark)
         sided = pairs.join(shingles.select(F.col("node").alias("src"), F.col("s").alias("sa")), "src").join(shingles.select(F.col("node").alias("dst"), F.col("s").alias("sb")), "dst")
-        return stored(map_arrow(sided.select("src", "dst", "sa", "sb"), _alike(similarity), "src long, dst long"), "alike")
+        out = stored(map_arrow(sided.select("src", "dst", "sa", "sb"), _alike(similarity), "src long, dst long"), "alike")
+        discard(shingles)
+        release(spark)
+        return out
 
     heads = shared.where("node != head").groupBy(F.greatest("node", "head").alias("src"), F.least("node", "head").alias("dst"), "node").count()
     heads = heads.groupBy("src", "dst").agg(F.sum("count").alias("count"))
@@ -412,7 +415,6 @@ def near_copies(docs: DataFrame, text_col: str = "text", width: int = WORDS, sim
         found = map_arrow(grouped(alike), _between(similarity, one=k), "src long, dst long").distinct()
         found = stored(some(found, TRIES, F.xxhash64("src", "dst")).withColumn("count", F.lit(0).cast("long")), "candidates")
         more = tested(possible(found).select("src", "dst"))
-        release(spark)
         if not more.limit(1).count():
             break
         alike = alike.unionByName(more)
