@@ -70,8 +70,10 @@ def _first_of_each(candidates: DataFrame) -> DataFrame:
     return keyed.withColumn("_n", best).where("_n = 1").drop("_n")
 
 
-def discover(payers: DataFrame, responses: DataFrame, rules: DataFrame, store: Callable[[DataFrame], DataFrame], sitemap_entries: DataFrame | None = None, index_pages: int = 25, max_docs: int = 50, hops: int = 3) -> DataFrame:
-    """Document candidates with their outcome, per payer: at most index_pages listings a hop and max_docs documents, by priority.
+def discover(payers: DataFrame, responses: DataFrame, rules: DataFrame, store: Callable[[DataFrame], DataFrame], sitemap_entries: DataFrame | None = None, index_pages: int = 25, max_docs: int = 50, hops: int = 3, policies: DataFrame | None = None) -> DataFrame:
+    """Document candidates with their outcome, per payer: at most index_pages listings in all and max_docs documents, by priority.
+
+    Robots rules (and policies, see decide()) come before budgets, so what they deny uses up no place.
 
     responses: url, status, headers (map), content, final_url.  Pages that are policy
     documents themselves join the documents.
@@ -84,7 +86,11 @@ def discover(payers: DataFrame, responses: DataFrame, rules: DataFrame, store: C
     for _ in range(hops):
         order = Window.partitionBy("payer_name").orderBy(F.desc("priority"), "seq")
         wave = frontier if seen is None else frontier.join(seen, ["payer_name", "key"], "left_anti")
-        wave = store(decide(wave.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= index_pages).drop("_n"), rules).where("allowed").drop("allowed", "reason", "matched_rule"))
+        wave = decide(wave, rules, policies=policies).where("allowed").drop("allowed", "reason", "matched_rule").withColumn("_n", F.row_number().over(order))
+        if seen is not None:
+            used = seen.groupBy("payer_name").agg(F.count(F.lit(1)).alias("_used"))
+            wave = wave.join(used, "payer_name", "left").withColumn("_n", F.col("_n") + F.coalesce("_used", F.lit(0))).drop("_used")
+        wave = store(wave.where(F.col("_n") <= index_pages).drop("_n"))
         if not wave.limit(1).count():
             break
         seen = wave.select("payer_name", "key") if seen is None else seen.unionByName(wave.select("payer_name", "key"))
@@ -97,8 +103,17 @@ def discover(payers: DataFrame, responses: DataFrame, rules: DataFrame, store: C
         frontier = found.where("origin = 'index'")
     wanted = _first_of_each(documents.drop("key"))
     place = F.row_number().over(Window.partitionBy("payer_name").orderBy(F.desc("priority"), "seq"))
-    chosen = decide(wanted.withColumn("place", place).where(F.col("place") <= max_docs), rules)
-    return resolve_documents(chosen, answered)
+    chosen = decide(wanted.withColumn("place", place), rules, policies=policies)
+    return resolve_documents(within_budget(chosen, max_docs, answered), answered)
+
+
+def within_budget(candidates: DataFrame, max_docs: int, answered: DataFrame) -> DataFrame:
+    """candidates (payer_name, place, key, allowed) in order, up to the one that makes max_docs found (answered with 200); those not found use up no place."""
+    good = answered.where((F.col("status") == 200) & (F.length("content") > 0)).select("key").distinct().withColumn("_good", F.lit(1))
+    before = Window.partitionBy("payer_name").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    hit = F.when(F.col("allowed"), F.coalesce("_good", F.lit(0))).otherwise(F.lit(0))
+    marked = candidates.join(good, "key", "left").withColumn("_found", F.coalesce(F.sum(hit).over(before), F.lit(0)))
+    return marked.where(F.col("_found") < max_docs).drop("_good", "_found")
 
 
 def resolve_documents(candidates: DataFrame, answered: DataFrame) -> DataFrame:
@@ -112,7 +127,7 @@ def resolve_documents(candidates: DataFrame, answered: DataFrame) -> DataFrame:
     return joined.withColumns({"outcome": became, "file_type": kind, "evidence": F.coalesce(F.nullif(wall, F.lit("")), F.nullif(gate, F.lit("")), F.lit(""))})
 
 
-def enumerate_documents(found: DataFrame, withheld: DataFrame, responses: DataFrame, rules: DataFrame, budget: int = 20) -> DataFrame:
+def enumerate_documents(found: DataFrame, withheld: DataFrame, responses: DataFrame, rules: DataFrame, budget: int = 20, policies: DataFrame | None = None) -> DataFrame:
     """Neighbours of numbered documents, for payers whose robots rules withhold something helpful.
 
     found: payer_name, document_url, seq of documents that answered; withheld: payer_name.
@@ -124,7 +139,7 @@ def enumerate_documents(found: DataFrame, withheld: DataFrame, responses: DataFr
     tried = tried.select("payer_name", "url", F.col("place").cast("long").alias("seq"), F.lit("url_pattern").alias("origin"), F.concat(F.lit("enumerated: "), F.col("prefix"), F.lit("{n}"), F.col("suffix")).alias("discovery_path"))
     tried = tried.withColumn("key", normalise_url(F.col("url"))).join(known, ["payer_name", "key"], "left_anti")
     answered = responses.withColumn("key", normalise_url(F.col("url"))).dropDuplicates(["key"]).drop("url")
-    became = resolve_documents(decide(tried, rules).where("allowed"), answered)
+    became = resolve_documents(decide(tried, rules, policies=policies).where("allowed"), answered)
     refused = became.where("outcome = 'challenged'").groupBy("payer_name").agg(F.min("seq").alias("_stop"))
     return became.join(refused, "payer_name", "left").where(F.col("_stop").isNull() | (F.col("seq") <= F.col("_stop"))).drop("_stop")
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from docsift.functions import vocab
 from docsift.functions.classify import helpful_disallow
 from docsift.functions.text import percent_decode
+from docsift.functions.sniff import robots_policy
 from docsift.functions.urls import host, robots_path
 
 
@@ -82,23 +83,44 @@ def rules_for(parsed: DataFrame, user_agent: str) -> DataFrame:
     return rules.select("host", F.col("line").alias("rule_no"), (F.col("kind") == "rule_allow").alias("allow"), F.col("value").alias("raw"), rule_regex(decoded).alias("pattern"), rule_length(F.col("value")).alias("length"))
 
 
-def decide(urls: DataFrame, rules: DataFrame, url_col: str = "url", keys: tuple[str, ...] = ()) -> DataFrame:
-    """urls with allowed, reason and matched_rule; rules as of rules_for(). Longest match wins, Allow on equal length, then the first."""
+def decide(urls: DataFrame, rules: DataFrame, url_col: str = "url", keys: tuple[str, ...] = (), policies: DataFrame | None = None) -> DataFrame:
+    """urls with allowed, reason and matched_rule; rules as of rules_for(). Longest match wins, Allow on equal length, then the first.
+
+    policies: (host, fetched, default_allow, note), as of policies_of(). Where rules were
+    not fetched the host's default holds, and a host that has no answer at all is
+    denied.  Without policies all hosts count as fetched.
+    """
     sided = urls.withColumns({"_host": host(F.col(url_col)), "_path": robots_path(F.col(url_col)), "_row": F.struct(F.col(url_col), *keys)})
+    if policies is not None:
+        fetched = policies.where("fetched").select("host")
+        rules = rules.join(fetched, "host", "left_semi")
     named = rules.withColumnRenamed("host", "_rule_host")
     hit = (F.col("_host") == F.col("_rule_host")) & F.expr("_path rlike pattern")
     pairs = sided.select("_host", "_path").distinct().join(named, hit)
     best = pairs.groupBy("_host", "_path").agg(F.max(F.struct("length", "allow", (-F.col("rule_no")).alias("first"), "raw")).alias("_best"))
     known = rules.select(F.col("host").alias("_host")).distinct().withColumn("_ruled", F.lit(True))
     out = sided.join(best, ["_host", "_path"], "left").join(known, "_host", "left")
+    if policies is None:
+        out = out.withColumns({"_default": F.lit(True), "_note": F.lit("")})
+    else:
+        out = out.join(policies.select(F.col("host").alias("_host"), F.col("default_allow").alias("_default"), F.col("note").alias("_note")), "_host", "left")
+        out = out.withColumns({"_default": F.coalesce("_default", F.lit(False)), "_note": F.coalesce("_note", F.lit("robots.txt was never answered"))})
     said = F.when(F.col("_best.allow"), F.concat(F.lit("Allow: "), F.col("_best.raw"))).when(F.col("_best").isNotNull(), F.concat(F.lit("Disallow: "), F.col("_best.raw"))).otherwise(F.lit(""))
     reason = (
         F.when(F.col("_best.allow"), F.lit("explicitly allowed"))
         .when(F.col("_best").isNotNull(), F.lit("disallowed by robots.txt"))
+        .when(F.col("_note") != "", F.col("_note"))
         .when(F.col("_ruled"), F.lit("no matching robots.txt rule"))
         .otherwise(F.lit("no applicable robots.txt rules"))
     )
-    return out.withColumns({"allowed": F.coalesce(F.col("_best.allow"), F.lit(True)), "reason": reason, "matched_rule": said}).drop("_host", "_path", "_row", "_best", "_ruled")
+    return out.withColumns({"allowed": F.coalesce(F.col("_best.allow"), F.col("_default")), "reason": reason, "matched_rule": said}).drop("_host", "_path", "_row", "_best", "_ruled", "_default", "_note")
+
+
+def policies_of(responses: DataFrame) -> DataFrame:
+    """(host, fetched, default_allow, note) of robots.txt responses (url, status, content); of several answers of a host the least status counts."""
+    policy = robots_policy(F.col("status"), F.col("content"))
+    rows = responses.select(host(F.col("url")).alias("host"), "status", policy.alias("p")).groupBy("host").agg(F.min_by("p", "status").alias("p"))
+    return rows.select("host", "p.fetched", "p.default_allow", "p.note")
 
 
 def crawl_delays(parsed: DataFrame, user_agent: str) -> DataFrame:

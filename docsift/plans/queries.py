@@ -37,14 +37,14 @@ def _pages(spark, sf_dir):
 # --- scalar normalisers -------------------------------------------------------------------------------------------
 
 _MESSY = (
-    "SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN ' ' || substr(text, 1, 60) || '​  x　' WHEN 1 THEN ' N/A ' WHEN 2 THEN NULL WHEN 3 THEN 'Not Applicable' "
-    "WHEN 4 THEN source || '   ﻿' || lang ELSE '--' END AS v FROM {documents}"
+    "SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN ' ' || text || '​  x　' WHEN 1 THEN text || ' N/A ' WHEN 2 THEN '﻿' || text ELSE text END AS v, "
+    "CASE doc_id % 6 WHEN 0 THEN 'n/a' WHEN 1 THEN ' N/A ' WHEN 2 THEN NULL WHEN 3 THEN 'Not Applicable' WHEN 4 THEN source || '   ﻿' || lang ELSE '--' END AS w FROM {documents}"
 )
 
 
-@query("p1_clean_text", f"SELECT doc_id, {d.clean('v')} AS cleaned FROM ({views.for_duck(_MESSY)})")
+@query("p1_clean_text", f"SELECT doc_id, {d.clean('v')} AS cleaned, {d.clean('w')} AS odd FROM ({views.for_duck(_MESSY)})")
 def p1(spark, sf_dir):
-    return spark.sql(_MESSY, **views.read(spark, sf_dir, "documents")).select("doc_id", text.clean_text(F.col("v")).alias("cleaned"))
+    return spark.sql(_MESSY, **views.read(spark, sf_dir, "documents")).select("doc_id", text.clean_text(F.col("v")).alias("cleaned"), text.clean_text(F.col("w")).alias("odd"))
 
 
 _MONTHS = "CASE m " + " ".join(f"WHEN {k} THEN '{x}'" for k, x in enumerate("January February March April May June July August September October November December".split(), 1)) + " END"
@@ -258,7 +258,7 @@ def p12(spark, sf_dir):
 _STATUSES = "CASE doc_id % 9 WHEN 0 THEN 401 WHEN 1 THEN 406 WHEN 2 THEN 429 WHEN 3 THEN 0 ELSE 200 END"
 _HEADS = ("%PDF-1.7 ", "", "<!DOCTYPE html><html>Please LOG in: Please log in", "<html>Checking your browser before accessing", "<?xml version=\"1.0\"?>", "{\\rtf1 ", "  <HTML>captcha Access Denied")
 _HEAD_CASE = "CASE doc_id % 7 " + " ".join(f"WHEN {k} THEN {{}}" for k in range(7)) + " END"
-_RAW_DUCK = f"SELECT doc_id, {_STATUSES} AS status, doc_id % 7 AS k, {_HEAD_CASE.format(*map(Q, _HEADS))} || substr(text, 1, 500) AS body, 'https://' || CASE WHEN doc_id % 10 = 0 THEN 'secure.x.org/SignIn' ELSE 'x.org/a' END || CASE doc_id % 4 WHEN 0 THEN '.xlsx' WHEN 1 THEN '.htm' WHEN 2 THEN '.Doc' ELSE '' END AS url, CASE doc_id % 3 WHEN 0 THEN 'Application/PDF; charset=utf-8' WHEN 1 THEN '' ELSE 'text/plain' END AS header FROM documents"
+_RAW_DUCK = f"SELECT doc_id, {_STATUSES} AS status, doc_id % 7 AS k, {_HEAD_CASE.format(*map(Q, _HEADS))} || text AS body, 'https://' || CASE WHEN doc_id % 10 = 0 THEN 'secure.x.org/SignIn' ELSE 'x.org/a' END || CASE doc_id % 4 WHEN 0 THEN '.xlsx' WHEN 1 THEN '.htm' WHEN 2 THEN '.Doc' ELSE '' END AS url, CASE doc_id % 3 WHEN 0 THEN 'Application/PDF; charset=utf-8' WHEN 1 THEN '' ELSE 'text/plain' END AS header FROM documents"
 
 
 def _raw(spark, sf_dir):
@@ -266,7 +266,7 @@ def _raw(spark, sf_dir):
     head = F.get(F.array(*[F.lit(h) for h in _HEADS]), (i % 7).cast("int"))
     url = F.concat(F.lit("https://"), F.when(i % 10 == 0, F.lit("secure.x.org/SignIn")).otherwise(F.lit("x.org/a")), F.get(F.array(F.lit(".xlsx"), F.lit(".htm"), F.lit(".Doc"), F.lit("")), (i % 4).cast("int")))
     header = F.get(F.array(F.lit("Application/PDF; charset=utf-8"), F.lit(""), F.lit("text/plain")), (i % 3).cast("int"))
-    return _documents(spark, sf_dir).select("doc_id", F.expr(_STATUSES).alias("status"), F.encode(F.concat(head, F.substring("text", 1, 500)), "UTF-8").alias("content"), url.alias("url"), header.alias("header"))
+    return _documents(spark, sf_dir).select("doc_id", F.expr(_STATUSES).alias("status"), F.encode(F.concat(head, F.col("text")), "UTF-8").alias("content"), url.alias("url"), header.alias("header"))
 
 
 _KIND = "(CASE k WHEN 0 THEN 'pdf' WHEN 1 THEN '' WHEN 2 THEN 'html' WHEN 3 THEN 'html' WHEN 4 THEN 'xml' WHEN 5 THEN 'doc' ELSE 'html' END)"
@@ -519,45 +519,67 @@ def a10(spark, sf_dir):
 ROBOTS = "User-agent: *\nDisallow: /fr/\nAllow: /fr/8*\nDisallow: /*.html$\nDisallow: /search?q=\nCrawl-delay: 45\n\nUser-agent: SpecialBot\nUser-agent: other\nAllow: /\nSitemap: https://a.example/s.xml\nFoo: bar\nno colon here\n"
 
 
-def _robots(spark, sf_dir):
+OTHER_ROBOTS = "User-agent: SpecialBot\nAllow: /en/docs\n\nUser-agent: *\nDisallow: /en/\nAllow: /en/1\nDisallow: /search?q=*\nCrawl-delay: 2\nSitemap: https://b.example/s.xml\nSitemap: https://b.example/t.xml\n"
+
+
+def _hosts(spark, sf_dir):
+    """Hosts with robots.txt answers that differ: its text by the length of the host's name, and in every five lengths one refusal and one miss."""
     hosts = _pages(spark, sf_dir).select(urls.host(F.col("url")).alias("host")).distinct()
-    return robots.parse_robots(hosts.withColumn("text", F.lit(ROBOTS)))
+    n = F.length("host")
+    answer = F.when(n % 5 == 4, F.lit(403)).when(n % 5 == 3, F.lit(404)).otherwise(F.lit(200))
+    return hosts.withColumns({"text": F.when(n % 2 == 0, F.lit(ROBOTS)).otherwise(F.lit(OTHER_ROBOTS)), "status": answer})
+
+
+def _robots(spark, sf_dir):
+    return robots.parse_robots(_hosts(spark, sf_dir).select("host", "text"))
 
 
 _HOST_LIST = f"(SELECT DISTINCT {d.host('url')} AS host FROM pages)"
 _PARSED = (
-    (1, "agent", "*", 1), (2, "rule_disallow", "/fr/", 1), (3, "rule_allow", "/fr/8*", 1), (4, "rule_disallow", "/*.html$", 1), (5, "rule_disallow", "/search?q=", 1), (6, "crawl_delay", "30.0", 1),
-    (8, "agent", "SpecialBot", 2), (9, "agent", "other", 2), (10, "rule_allow", "/", 2), (11, "sitemap", "https://a.example/s.xml", 2), (12, "unknown", "Foo: bar", 2), (13, "unknown", "no colon here", 2),
+    (0, 1, "agent", "*", 1), (0, 2, "rule_disallow", "/fr/", 1), (0, 3, "rule_allow", "/fr/8*", 1), (0, 4, "rule_disallow", "/*.html$", 1), (0, 5, "rule_disallow", "/search?q=", 1), (0, 6, "crawl_delay", "30.0", 1),
+    (0, 8, "agent", "SpecialBot", 2), (0, 9, "agent", "other", 2), (0, 10, "rule_allow", "/", 2), (0, 11, "sitemap", "https://a.example/s.xml", 2), (0, 12, "unknown", "Foo: bar", 2), (0, 13, "unknown", "no colon here", 2),
+    (1, 1, "agent", "SpecialBot", 1), (1, 2, "rule_allow", "/en/docs", 1), (1, 4, "agent", "*", 2), (1, 5, "rule_disallow", "/en/", 2), (1, 6, "rule_allow", "/en/1", 2), (1, 7, "rule_disallow", "/search?q=*", 2),
+    (1, 8, "crawl_delay", "2.0", 2), (1, 9, "sitemap", "https://b.example/s.xml", 2), (1, 10, "sitemap", "https://b.example/t.xml", 2),
 )
-_PARSED_VALUES = ", ".join(f"({line - 1}, {Q(kind)}, {Q(value)}, {group})" for line, kind, value, group in _PARSED)
+_PARSED_VALUES = ", ".join(f"({kind_of}, {line - 1}, {Q(kind)}, {Q(value)}, {group})" for kind_of, line, kind, value, group in _PARSED)
+
 
+def _by_text(a, b):
+    return f"CASE WHEN length(host) % 2 = 0 THEN {a} ELSE {b} END"
 
-@query("s8_robots_parse", f"SELECT host, CAST(line AS INT) AS line, kind, value, CAST(g AS BIGINT) AS group_no FROM {_HOST_LIST}, (VALUES {_PARSED_VALUES}) AS v(line, kind, value, g)")
+
+@query("s8_robots_parse", f"SELECT host, CAST(line AS INT) AS line, kind, value, CAST(g AS BIGINT) AS group_no FROM {_HOST_LIST} JOIN (VALUES {_PARSED_VALUES}) AS v(t, line, kind, value, g) ON length(host) % 2 = t")
 def s8(spark, sf_dir):
     return _robots(spark, sf_dir).select("host", "line", "kind", "value", "group_no")
 
 
-@query("j3_agent_group", f"SELECT host, CAST(1 AS BIGINT) AS anyone, CAST(2 AS BIGINT) AS special FROM {_HOST_LIST}")
+@query("j3_agent_group", f"SELECT host, CAST({_by_text(1, 2)} AS BIGINT) AS anyone, CAST({_by_text(2, 1)} AS BIGINT) AS special FROM {_HOST_LIST}")
 def j3(spark, sf_dir):
     parsed = store(_robots(spark, sf_dir))
     return robots.choose_group(parsed, "docsift/0.1").withColumnRenamed("group_no", "anyone").join(robots.choose_group(parsed, "My specialbot 2").withColumnRenamed("group_no", "special"), "host")
 
 
 _FULL_PATH = f"(CASE WHEN {d.part('url', 3)} = '' THEN '/' ELSE {d.part('url', 3)} END || CASE WHEN {d.part('url', 4)} = '' THEN '' ELSE '?' || {d.part('url', 4)} END)"
+_RULE = (
+    "CASE WHEN length(host) % 5 IN (3, 4) THEN '' WHEN length(host) % 2 = 0 THEN CASE WHEN p LIKE '/search?q=%' THEN 'Disallow: /search?q=' WHEN regexp_matches(p, '^/.*\\.html$') THEN 'Disallow: /*.html$' WHEN p LIKE '/fr/8%' THEN 'Allow: /fr/8*' WHEN p LIKE '/fr/%' THEN 'Disallow: /fr/' ELSE '' END "
+    "ELSE CASE WHEN p LIKE '/search?q=%' THEN 'Disallow: /search?q=*' WHEN p LIKE '/en/1%' THEN 'Allow: /en/1' WHEN p LIKE '/en/%' THEN 'Disallow: /en/' ELSE '' END END"
+)
 
 
-@query("j2_robots_decision", f"SELECT page_id, CASE WHEN p LIKE '/search?q=%' THEN false WHEN regexp_matches(p, '^/.*\\.html$') THEN false WHEN p LIKE '/fr/8%' THEN true WHEN p LIKE '/fr/%' THEN false ELSE true END AS allowed, CASE WHEN p LIKE '/search?q=%' THEN 'Disallow: /search?q=' WHEN regexp_matches(p, '^/.*\\.html$') THEN 'Disallow: /*.html$' WHEN p LIKE '/fr/8%' THEN 'Allow: /fr/8*' WHEN p LIKE '/fr/%' THEN 'Disallow: /fr/' ELSE '' END AS matched_rule FROM (SELECT page_id, url_decode({_FULL_PATH}) AS p FROM pages)")
+@query("j2_robots_decision", f"SELECT page_id, length(host) % 5 <> 4 AND NOT starts_with(rule, 'Dis') AS allowed, rule AS matched_rule FROM (SELECT page_id, host, {_RULE} AS rule FROM (SELECT page_id, {d.host('url')} AS host, url_decode({_FULL_PATH}) AS p FROM pages))")
 def j2(spark, sf_dir):
-    rules = robots.rules_for(_robots(spark, sf_dir), "docsift/0.1")
-    return robots.decide(_pages(spark, sf_dir).select("page_id", "url"), store(rules), keys=("page_id",)).select("page_id", "allowed", "matched_rule")
+    hosts = _hosts(spark, sf_dir)
+    answers = hosts.select(F.concat(F.lit("https://"), F.col("host"), F.lit("/robots.txt")).alias("url"), "status", F.encode("text", "UTF-8").alias("content"))
+    rules = robots.rules_for(robots.parse_robots(hosts.select("host", "text")), "docsift/0.1")
+    return robots.decide(_pages(spark, sf_dir).select("page_id", "url"), store(rules), keys=("page_id",), policies=store(robots.policies_of(answers))).select("page_id", "allowed", "matched_rule")
 
 
-@query("a6_robots_summary", f"SELECT host, CAST(2 AS BIGINT) AS groups, CAST(5 AS BIGINT) AS rules, CAST(1 AS BIGINT) AS sitemaps, CAST(30 AS DOUBLE) AS crawl_delay FROM {_HOST_LIST}")
+@query("a6_robots_summary", f"SELECT host, CAST(2 AS BIGINT) AS groups, CAST({_by_text(5, 4)} AS BIGINT) AS rules, CAST({_by_text(1, 2)} AS BIGINT) AS sitemaps, CAST({_by_text(30, 2)} AS DOUBLE) AS crawl_delay FROM {_HOST_LIST}")
 def a6(spark, sf_dir):
     return robots.summary(store(_robots(spark, sf_dir)))
 
 
-@query("f12_helpful_disallowed", f"SELECT host, '/search?q=' AS path, 'Disallow: /search?q=' AS rule FROM {_HOST_LIST}")
+@query("f12_helpful_disallowed", f"SELECT host, '/search?q=' AS path, {_by_text(Q('Disallow: /search?q='), Q('Disallow: /search?q=*'))} AS rule FROM {_HOST_LIST}")
 def f12(spark, sf_dir):
     return robots.helpful_disallowed(store(robots.rules_for(_robots(spark, sf_dir), "docsift/0.1"))).select("host", "path", "rule")
 
@@ -571,7 +593,7 @@ def s11(spark, sf_dir):
     return sitemap.parse_sitemaps(files, keep=("page_id",)).select("page_id", "seq", "loc", "lastmod")
 
 
-_ENUM = "SELECT p_partkey AS seq, p_brand AS payer_name, 'https://' || CASE WHEN p_size % 3 = 0 THEN 'a' ELSE 'b' END || '.example/policy/' || CAST(p_partkey + 100 AS STRING) || '.pdf' AS document_url FROM {part} WHERE p_partkey % 4 <> 1"
+_ENUM = "SELECT p_partkey AS seq, p_brand AS payer_name, 'https://' || CASE WHEN p_size % 3 = 0 THEN 'a' ELSE 'b' END || '.example/policy/' || CAST(CAST(p_partkey + floor(p_partkey / 4) + 100 AS BIGINT) AS STRING) || '.pdf' AS document_url FROM {part}"
 _ENUM_DUCK = _ENUM.replace("{part}", "part")
 _GROUPED = (
     f"g AS (SELECT payer_name, regexp_extract(document_url, '^(.*/)[0-9]+', 1) AS prefix, '.pdf' AS suffix, list_sort(list(DISTINCT CAST(regexp_extract(document_url, '([0-9]+)\\.pdf$', 1) AS BIGINT))) AS numbers, min(seq) AS first FROM ({_ENUM_DUCK}) GROUP BY ALL), "
@@ -624,14 +646,13 @@ def j8(spark, sf_dir):
     return report.merge_stats(live, kept)
 
 
-@query("j6_incremental_rows", f"WITH i AS (SELECT doc_id AS seq, 'https://h.org/' || CAST(doc_id % 700 AS VARCHAR) AS k FROM documents WHERE doc_id % 3 <> 0), e AS (SELECT DISTINCT 'https://h.org/' || CAST(doc_id % 200 AS VARCHAR) AS k FROM documents WHERE doc_id < 150) SELECT k AS url_key, min(seq) AS seq FROM i WHERE k NOT IN (SELECT k FROM e) GROUP BY k")
+@query("j6_incremental_rows", "WITH i AS (SELECT doc_id AS seq, 'https://h.org/' || CAST(CAST(floor(doc_id / 3) AS BIGINT) AS VARCHAR) AS k FROM documents), e AS (SELECT 'https://h.org/' || CAST(doc_id * 2 AS VARCHAR) AS k FROM documents) SELECT k AS url_key, min(seq) AS seq FROM i WHERE k NOT IN (SELECT k FROM e) GROUP BY k")
 def j6(spark, sf_dir):
     from docsift.sources.checkpoint import first_writer_wins
 
     docs = _documents(spark, sf_dir)
-    key = lambda n: urls.normalise_url(F.concat(F.lit("HTTPS://h.org/"), (F.col("doc_id") % n).cast("string"), F.lit("#f")))
-    incoming = docs.where("doc_id % 3 <> 0").select(key(700).alias("url_key"), F.col("doc_id").alias("seq"))
-    return first_writer_wins(incoming, docs.where("doc_id < 150").select(key(200).alias("url_key")))
+    key = lambda n: urls.normalise_url(F.concat(F.lit("HTTPS://h.org/"), n.cast("long").cast("string"), F.lit("#f"))).alias("url_key")
+    return first_writer_wins(docs.select(key(F.floor(F.col("doc_id") / 3)), F.col("doc_id").alias("seq")), docs.select(key(F.col("doc_id") * 2)))
 
 
 @query("f16_write_off", "WITH e AS (SELECT user_id % 50 AS host, ts, event_id, (event_type IN ('error', 'view', 'signup')) AS bad FROM events), i AS (SELECT *, sum(CASE WHEN bad THEN 0 ELSE 1 END) OVER (PARTITION BY host ORDER BY ts, event_id) AS isle FROM e), s AS (SELECT host, isle, count(*) FILTER (bad) AS n FROM i GROUP BY ALL) SELECT host, CAST(max(n) AS BIGINT) AS longest, max(n) >= 8 AS written_off FROM s GROUP BY host")

@@ -294,3 +294,25 @@ def test_config(tmp_path):
         config.build({"nothing": {}, "crawl": {"bad": 1, "retry_limit": -1}})
     assert len(config.new_run_id().split("-")[1]) == 6
     assert [config.exit_code(*x) for x in ((True, False, 1), (False, True, 1), (False, False, 0), (False, False, 2))] == [130, 1, 2, 0]
+
+
+def test_robots_default_by_answer(spark):
+    from docsift.operators import robots
+
+    answers = [("https://a.org/robots.txt", 200, b"User-agent: *\nDisallow: /x"), ("https://b.org/robots.txt", 404, b""), ("https://c.org/robots.txt", 403, b"no"), ("https://d.org/robots.txt", 503, b""), ("https://e.org/robots.txt", 0, b""), ("https://f.org/robots.txt", 401, b""), ("https://p.org/robots.txt", 200, b"<html>Disallow: /x</html>")]
+    responses = spark.createDataFrame(answers, "url string, status int, content binary")
+    policies = robots.policies_of(responses)
+    rules = robots.rules_for(robots.parse_robots(responses.selectExpr("regexp_extract(url, '//([^/]*)', 1) AS host", "cast(content AS string) AS text")), "docsift/0.1")
+    urls = spark.createDataFrame([(f"https://{h}.org{p}",) for h in "abcdefpz" for p in ("/x", "/y")], "url string")
+    got = {r["url"]: r["allowed"] for r in robots.decide(urls, rules, policies=policies).collect()}
+    assert {u.removeprefix("https://") for u, ok in got.items() if ok} == {"a.org/y", "b.org/x", "b.org/y", "p.org/x", "p.org/y"}
+    assert all(r["reason"] for r in robots.decide(urls, rules, policies=policies).where("not allowed").collect())
+
+
+def test_document_budget_counts_what_is_found(spark):
+    from docsift.operators import frontier
+
+    rows = [("A", k, f"k{k}", k != 1) for k in range(6)]
+    candidates = spark.createDataFrame(rows, "payer_name string, place int, key string, allowed boolean")
+    answered = spark.createDataFrame([(f"k{k}", 200 if k != 0 else 404, b"x") for k in range(6)], "key string, status int, content binary")
+    assert [r["place"] for r in frontier.within_budget(candidates, 2, answered).orderBy("place").collect()] == [0, 1, 2, 3]
