@@ -218,48 +218,52 @@ class Hmm:
         longest = int(lengths[0])
         active = np.searchsorted(-lengths, -np.arange(longest), "left")
         emit, move, first = self.emit.astype(np.float32), self.move.astype(np.float32), self.start.astype(np.float32)
+        ones = np.ones((STATES, 1), np.float32)  # sums over states as products, which are faster
         moves, gammas, emits = np.zeros((STATES, STATES)), None, np.zeros((CLASSES, STATES))
+        # all forward values are kept where they are few; else every STRIDE-th, and those between are computed again
+        stride = longest if len(flat) <= 2 * TOKENS_AT_ONCE else STRIDE
         kept, total = [], 0.0
 
         def forward(lo, hi, alpha, likelihood=False):
-            """Scaled forward values of tokens lo..hi - 1 after alpha, with what each token emits."""
+            """Scaled forward values of tokens lo..hi - 1 after alpha, what each token emits, and the tokens."""
             nonlocal total
-            alphas, seen = [], []
+            alphas, seen, symbols = [], [], []
             for t in range(lo, hi):
                 n = active[t]
-                seen.append(emit[flat[starts[:n] + t]])
+                symbols.append(flat[starts[:n] + t])
+                seen.append(emit[symbols[-1]])
                 alpha = (alpha[:n] @ move if t else np.broadcast_to(first, (n, STATES))) * seen[-1]
-                scale = alpha.sum(axis=1, keepdims=True)
+                scale = alpha @ ones
                 alpha = alpha / scale
                 if likelihood:
                     total += float(np.log(scale).sum())
                 alphas.append(alpha)
-            return alphas, seen
+            return alphas, seen, symbols
 
         alpha = None
-        for lo in range(0, longest, STRIDE):
+        for lo in range(0, longest, stride):
             kept.append(alpha)
-            alpha = forward(lo, min(lo + STRIDE, longest), alpha, True)[0][-1]
+            found = forward(lo, min(lo + stride, longest), alpha, True)
+            alpha = found[0][-1]
         beta = np.ones((active[-1], STATES), np.float32)
         for k in range(len(kept) - 1, -1, -1):
-            lo, hi = k * STRIDE, min((k + 1) * STRIDE, longest)
-            alphas, seen = forward(lo, hi, kept[k])
+            lo, hi = k * stride, min((k + 1) * stride, longest)
+            alphas, seen, symbols = found if k == len(kept) - 1 else forward(lo, hi, kept[k])
             gamma = [None] * (hi - lo)
             for t in range(hi - 1, lo - 1, -1):
                 own = alphas[t - lo]
                 if len(beta) < len(own):
                     beta = np.concatenate([beta, np.ones((len(own) - len(beta), STATES), np.float32)])
                 g = own * beta
-                gamma[t - lo] = g = g / g.sum(axis=1, keepdims=True)
+                gamma[t - lo] = g = g / (g @ ones)
                 if t:
                     before = (alphas[t - lo - 1] if t > lo else kept[k])[: len(own)]
                     after = seen[t - lo] * beta
                     back = after @ move.T
-                    moves += (before / (before * back).sum(axis=1, keepdims=True)).T @ after
-                    beta = back / back.max(axis=1, keepdims=True)
+                    moves += (before / ((before * back) @ ones)).T @ after
+                    beta = back / (back @ ones)
             gammas = gamma[0]
-            symbols = np.concatenate([flat[starts[: active[t]] + t] for t in range(lo, hi)])
-            gamma = np.concatenate(gamma)
+            symbols, gamma = np.concatenate(symbols), np.concatenate(gamma)
             emits += np.stack([np.bincount(symbols, weights=gamma[:, s], minlength=CLASSES) for s in range(STATES)], axis=1)
         return gammas.sum(axis=0, dtype=np.float64), moves * self.move, emits, np.array([total, len(flat)])
 
