@@ -414,6 +414,7 @@ def near_copies(docs: DataFrame, text_col: str = "text", width: int = WORDS, sim
     for k in range(1, JOININGS + 1):
         found = map_arrow(grouped(alike), _between(similarity, one=k), "src long, dst long").distinct()
         found = stored(some(found, TRIES, F.xxhash64("src", "dst")).withColumn("count", F.lit(0).cast("long")), "candidates")
+        release(spark)
         more = tested(possible(found).select("src", "dst"))
         if not more.limit(1).count():
             break
