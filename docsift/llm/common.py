@@ -19,6 +19,8 @@ from docsift.session import ship
 BROADCAST_BYTES = 64 << 20
 #: Bytes of text that a Python step works on at once; one longer text makes a block of its own.
 BLOCK_BYTES = 8 << 20
+#: Bytes of an Arrow batch that Spark fills for a Python step of a stored table.
+BATCH_BYTES = 8 << 20
 #: Lower-cases A-Z in UTF-8 bytes and leaves all other bytes.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -46,12 +48,25 @@ def run_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, limit: int = BATCH_BYTES):
+    """Bounds the bytes of an Arrow batch in what runs inside, whatever the rows' lengths; the session's own setting comes back after."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    own = spark.conf.get(name)
+    spark.conf.set(name, str(limit))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, own)
+
+
 def stored(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: cuts lineage and survives lost executors."""
     spark, schema = df.sparkSession, df.schema
     path = run_folder(spark, name)
     writer = df.write if codec is None else df.write.option("compression", codec)
-    writer.parquet(path)
+    with small_batches(spark):
+        writer.parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 

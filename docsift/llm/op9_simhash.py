@@ -126,7 +126,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 WORDS, SIMILARITY = 5, 0.8
 #: Texts whose shingles are counted to tell common ones, the count that makes one common, and the most that are told; they order prefixes and bear on time only.
 COUNTED, COMMON, TOLD = 10_000, 3, 200_000
-_PAIRS_AT_ONCE = 1 << 19
+#: Pairs that a sweep gathers for a batch, and those that it tests at a time.
+_PAIRS_AT_ONCE, _TESTED_AT_ONCE = 1 << 19, 1 << 17
 #: Texts that each text is tested against first, texts of other groups that it is then tested against at a time, and how often so; they bear on time only, as all other pairs follow.
 HEADS, TRIES, JOININGS = 2, 8, 1
 #: Bits of a text's parities, which rule pairs out before whole sets meet.
@@ -239,7 +240,7 @@ def _across(node, size, pos, group, bits, similarity, one=0):
     many = np.cumsum(high - low)
     start = 0
     while start < len(few):
-        stop = max(start + 1, int(np.searchsorted(many, (many[start - 1] if start else 0) + _PAIRS_AT_ONCE, "right")))
+        stop = max(start + 1, int(np.searchsorted(many, (many[start - 1] if start else 0) + _TESTED_AT_ONCE, "right")))
         n = (high - low)[start:stop]
         i = np.repeat(few[start:stop], n)
         j = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low[start:stop], n)
@@ -318,11 +319,18 @@ def _possible(similarity: float):
     return per_batch(run)
 
 
+def _views(column: pa.Array):
+    """The shingle sets of a column without nulls, read in place."""
+    ends = np.frombuffer(column.buffers()[1], np.int32 if pa.types.is_binary(column.type) else np.int64)[column.offset : column.offset + len(column) + 1]
+    values = column.buffers()[2]
+    for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
+        yield np.frombuffer(values, np.uint64, (b - a) // 8, a)
+
+
 def _alike(similarity: float):
     def run(batch):
         keep = []
-        for a, b in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist()):
-            a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+        for a, b in zip(_views(batch.column("sa")), _views(batch.column("sb"))):
             both = len(np.intersect1d(a, b, assume_unique=True))
             keep.append(both >= similarity * (len(a) + len(b) - both))
         return pa.RecordBatch.from_arrays([batch.column("src"), batch.column("dst")], names=["src", "dst"]).filter(pa.array(keep))
