@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from encodings.aliases import aliases
+from functools import cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -40,15 +43,28 @@ def _western(content: Column) -> Column:
     return F.translate(F.decode(content, "ISO-8859-1"), _C1, _WESTERN)
 
 
+_HIGH = "".join(map(chr, range(128, 256)))
+#: Single-byte codecs that pages declare.
+_CODECS = ("latin_1", "koi8_r", "koi8_u", "mac_roman", *(f"cp{k}" for k in range(1250, 1259)), *(f"iso8859_{k}" for k in range(2, 17) if k != 12))
+
+
+@cache
+def _tables() -> dict[str, str]:
+    """By every name of a single-byte codec: what bytes 128 to 255 stand for, U+FFFD where for nothing."""
+    table = {c: "".join(bytes([b]).decode(c, "replace") for b in range(128, 256)) for c in _CODECS}
+    return table | {name: table[c] for name, c in aliases.items() if c in table}
+
+
 def decode_text(content: Column, declared: Column | None = None) -> Column:
-    """Text by the declared charset where it is a single-byte one, else UTF-8 where valid, else Windows-1252."""
+    """Text by the declared charset where it is a single-byte one that has all bytes, else UTF-8 where valid, else Windows-1252; other declared charsets count as none."""
     utf8 = F.try_validate_utf8(content.cast("string"))
-    western = _western(content)
-    text = F.coalesce(utf8, western, F.lit(""))
+    text = F.coalesce(utf8, _western(content), F.lit(""))
     if declared is None:
         return text
-    latin = F.decode(content, "ISO-8859-1")
-    return F.when(declared.isin("windows-1252", "cp1252"), western).when(declared.isin("iso-8859-1", "latin-1", "latin1"), latin).otherwise(text)
+    tables = F.create_map(*[F.lit(x) for pair in _tables().items() for x in pair])
+    name = F.regexp_replace(F.lower(F.coalesce(declared, F.lit(""))), r"[^a-z0-9.]+", "_")
+    own = F.call_function("translate", F.decode(content, "ISO-8859-1"), F.lit(_HIGH), F.try_element_at(tables, name))
+    return F.coalesce(F.when(~F.contains(own, F.lit("\ufffd")), own), text)
 
 
 def extension(url: Column) -> Column:

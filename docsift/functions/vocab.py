@@ -145,6 +145,7 @@ SITE_NAMES = (
 )
 TITLE_BOILERPLATE = r"(?i)\s*[|\-:–—]\s*(?:" + SITE_NAMES + r")\s*$"
 ANCHOR = r"""(?is)<a\b[^>]*?href\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)[^>]*>(.*?)</a\s*>"""
+REFERENCES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
 SOFT_404_MARKERS = ("page not found", "not found", "error", "no results", "we couldn't find", "we could not find", "access denied", "under construction", "coming soon", "unavailable", "sorry", "invalid request", "bad request")
 GENERIC_PDF_TITLES = ("untitled", "document", "document1", "print", "form", "pdf")
 

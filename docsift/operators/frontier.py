@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docsift.functions.classify import score_candidate
-from docsift.functions.sniff import auth_gate, challenge, decode_text, detect_file_type, ok, sniff_kind
+from docsift.functions.sniff import auth_gate, challenge, charset, decode_text, detect_file_type, ok, sniff_kind
 from docsift.functions.urls import anchor_selector, has_policy_hint, host, in_scope, is_html_policy_page, is_noise, looks_like_document_url, looks_like_policy_index, normalise_url, page_label
 from docsift.functions.text import trim_label
 from docsift.operators.enumeration import candidates, templates
@@ -95,7 +95,7 @@ def discover(payers: DataFrame, responses: DataFrame, rules: DataFrame, store: C
             break
         seen = wave.select("payer_name", "key") if seen is None else seen.unionByName(wave.select("payer_name", "key"))
         pages = wave.join(answered, "key").where((F.col("status") == 200) & (challenge(F.col("status"), F.col("headers"), F.col("content")) == ""))
-        pages = pages.withColumn("html", decode_text(F.col("content")))
+        pages = pages.withColumn("html", decode_text(F.col("content"), charset(F.try_element_at(F.col("headers"), F.lit("content-type")))))
         itself = pages.where(is_html_policy_page(F.col("url"), F.col("html"))).withColumn("origin", F.lit("html_policy")).select(wave.columns)
         links = _first_of_each(links_of(pages.select("payer_name", "url", "html", "discovery_path", "depth", "seq"), payers))
         found = store(links.unionByName(itself))

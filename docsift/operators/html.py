@@ -20,12 +20,35 @@ def strip_tags(c: Column) -> Column:
     return F.regexp_replace(c, r"<[^>]+>", " ")
 
 
+def unescape(c: Column) -> Column:
+    """The common character references decoded; others stay as they are."""
+    for name, char in vocab.REFERENCES:
+        c = F.replace(c, F.lit(name), F.lit(char))
+    return c
+
+
+def _tag(name: str) -> str:
+    """Pattern of an opening tag whose quoted values may hold anything."""
+    return rf"""(?is)<{name}\b(?:[^>"']++|"[^"]*"|'[^']*')*>"""
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    """Value of an opening tag's attribute, empty without."""
+    value = F.regexp_extract(tag, rf"""(?is)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
+    return unescape(F.trim(F.regexp_replace(value, "^[\"']|[\"']$", "")))
+
+
 def html_title(page: Column) -> Column:
-    """struct(title, method): the first h1, else the title element, without the site's name."""
-    h1, title = (rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>" for tag in ("h1", "title"))
-    raw = F.when(page.rlike(h1), F.regexp_extract(page, h1, 1)).otherwise(F.regexp_extract(page, title, 1))
-    text = clean_text(F.regexp_replace(clean_text(strip_tags(raw)), vocab.TITLE_BOILERPLATE, ""))
-    return F.struct(text.alias("title"), F.when(text == "", F.lit("")).otherwise(F.lit("regex")).alias("method"))
+    """struct(title, method): the first h1, the og:title (or title, dc.title) meta, both of 4 to 300 characters, else the title element without the site's name."""
+    page = F.regexp_replace(page, r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>", " ")
+    element = lambda tag: clean_text(unescape(strip_tags(F.regexp_extract(page, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>", 1))))
+    metas = F.regexp_extract_all(page, F.lit(_tag("meta")), F.lit(0))
+    named = lambda name, value: F.get(F.filter(metas, lambda m: _attribute(m, name) == value), F.lit(0))
+    meta = F.coalesce(named("property", "og:title"), named("name", "title"), named("name", "dc.title"), F.lit(""))
+    own = clean_text(F.regexp_replace(element("title"), vocab.TITLE_BOILERPLATE, ""))
+    found = F.filter(F.array(element("h1"), clean_text(_attribute(meta, "content"))), lambda t: F.length(t).between(4, 300))
+    picked = F.transform(F.array(F.coalesce(F.get(found, F.lit(0)), own, F.lit(""))), lambda t: F.struct(t.alias("title"), F.when(t == "", F.lit("")).otherwise(F.lit("css_selector")).alias("method")))
+    return F.get(picked, F.lit(0))
 
 
 def html_text(page: Column, limit: int = 200_000) -> Column:
@@ -34,15 +57,36 @@ def html_text(page: Column, limit: int = 200_000) -> Column:
     return F.substring(clean_text(strip_tags(dropped)), 1, limit)
 
 
+def _instead(tag: Column, inner: Column) -> Column:
+    """Text for an anchor without any: its own attributes in this order, then its first image's."""
+    image = F.regexp_extract(inner, _tag("img"), 0)
+    texts = F.array(*[_attribute(tag, a) for a in ("title", "aria-label", "data-title", "alt")], *[_attribute(image, a) for a in ("alt", "title")])
+    return F.coalesce(F.get(F.filter(F.transform(texts, lambda t: clean_text(t)), lambda t: t != ""), F.lit(0)), F.lit(""))
+
+
+def _framed(page: Column, tag: str, attribute: str) -> Column:
+    return F.transform(F.regexp_extract_all(page, F.lit(_tag(tag)), F.lit(0)), lambda t: F.struct(_attribute(t, attribute).alias("h"), clean_text(_attribute(t, "title")).alias("text")))
+
+
 def links(page: Column, base: Column) -> Column:
-    """array of struct(seq, link, text): a page's http(s) links in order, the first of equal links only; no shuffle is needed."""
-    found = F.arrays_zip(F.regexp_extract_all(page, F.lit(vocab.ANCHOR), F.lit(1)).alias("h"), F.regexp_extract_all(page, F.lit(vocab.ANCHOR), F.lit(2)).alias("t"))
-    href = lambda a: F.regexp_replace(F.regexp_replace(F.trim(a["h"]), "^[\"']+|[\"']+$", ""), r"^\s+|\s+$", "")
-    resolved = F.transform(found, lambda a, i: F.struct(i.alias("seq"), resolve(base, href(a)).alias("link"), a["t"].alias("text")))
+    """array of struct(seq, link, text): a page's http(s) links, the first of equal links only; no shuffle is needed.
+
+    Anchors come in page order, then documents of iframe, embed and object; anchors in
+    comments don't count.  An anchor without text takes that of its title, aria-label,
+    data-title or alt, else of its image.
+    """
+    page = F.regexp_replace(page, r"(?s)<!--.*?-->", " ")
+    whole = F.regexp_extract_all(page, F.lit(vocab.ANCHOR), F.lit(0))
+    parts = F.transform(whole, lambda a: F.struct(a.alias("a"), F.regexp_extract(a, vocab.ANCHOR, 1).alias("h"), F.regexp_extract(a, vocab.ANCHOR, 2).alias("t")))
+    href = lambda a: unescape(F.regexp_replace(F.regexp_replace(F.trim(a["h"]), "^[\"']+|[\"']+$", ""), r"^\s+|\s+$", ""))
+    named = F.transform(parts, lambda a: F.struct(a["a"].alias("a"), href(a).alias("h"), a["t"].alias("t"), clean_text(unescape(strip_tags(a["t"]))).alias("text")))
+    anchors = F.transform(named, lambda a: F.struct(a["h"].alias("h"), F.when(a["text"] != "", a["text"]).otherwise(_instead(F.regexp_extract(a["a"], _tag("a"), 0), a["t"])).alias("text")))
+    found = F.concat(anchors, _framed(page, "iframe", "src"), _framed(page, "embed", "src"), _framed(page, "object", "data"))
+    resolved = F.transform(found, lambda a, i: F.struct(i.alias("seq"), resolve(base, a["h"]).alias("link"), a["text"].alias("text")))
     kept = F.filter(resolved, lambda a: a["link"].isNotNull())
     names = lambda x: F.transform(x, lambda a: a["link"])
     first = F.transform(F.array(kept), lambda x: F.filter(x, lambda a, i: F.array_position(names(x), a["link"]) == i + 1))
-    return F.transform(F.get(first, F.lit(0)), lambda a: F.struct(a["seq"].alias("seq"), a["link"].alias("link"), clean_text(strip_tags(a["text"])).alias("text")))
+    return F.get(first, F.lit(0))
 
 
 def extract_links(pages: DataFrame, html: str = "html", base: str = "url", keep: tuple[str, ...] = ()) -> DataFrame:

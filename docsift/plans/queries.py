@@ -375,9 +375,25 @@ def f10(spark, sf_dir):
     return views.titles(spark, sf_dir).select("id", classify.verify_enumerated(F.col("title"), binary, F.lit(""), kind).alias("verified"))
 
 
-@query("x1_html_title", f"SELECT page_id, {d.clean('regexp_replace(h, $$<[^>]+>$$, $$ $$, $$g$$)')} AS title FROM (SELECT page_id, CASE WHEN regexp_matches(html, '(?is)<h1\\b[^>]*>(.*?)</h1\\s*>') THEN regexp_extract(html, '(?is)<h1\\b[^>]*>(.*?)</h1\\s*>', 1) ELSE regexp_extract(html, '(?is)<title\\b[^>]*>(.*?)</title\\s*>', 1) END AS h FROM pages)")
+def _unescaped(c):
+    for name, char in vocab.REFERENCES:
+        c = f"replace({c}, {Q(name)}, {Q(char)})"
+    return c
+
+
+def _inner(tag):
+    inner = f"regexp_extract(html, {Q(rf'(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>')}, 1)"
+    return d.clean(_unescaped(f"regexp_replace({inner}, '<[^>]+>', ' ', 'g')"))
+
+
+_NO_H1 = "replace(html, 'h1>', 'h2>')"
+_TITLED = f"""CASE page_id % 5 WHEN 0 THEN html WHEN 1 THEN concat('<meta property="og:title" content="Og ', page_id, ' &amp; more">', {_NO_H1})
+    WHEN 2 THEN concat({_NO_H1}, '<META content="Dc > ', page_id, '" name="dc.title">') WHEN 3 THEN concat('<!-- <h1>In a comment</h1> -->', {_NO_H1}) ELSE concat('<h1>ab</h1><meta name="title" content="abc">', {_NO_H1}) END"""
+
+
+@query("x1_html_title", f"SELECT page_id, CASE page_id % 5 WHEN 1 THEN 'Og ' || page_id || ' & more' WHEN 2 THEN 'Dc > ' || page_id WHEN 0 THEN CASE WHEN length(h) BETWEEN 4 AND 300 THEN h ELSE t END ELSE t END AS title FROM (SELECT page_id, {_inner('h1')} AS h, {d.clean(f'regexp_replace({_inner("title")}, {Q(vocab.TITLE_BOILERPLATE)}, {Q("")})')} AS t FROM pages)")
 def x1(spark, sf_dir):
-    return _pages(spark, sf_dir).select("page_id", html.html_title(F.col("html"))["title"].alias("title"))
+    return _pages(spark, sf_dir).withColumn("html", F.expr(_TITLED)).select("page_id", html.html_title(F.col("html"))["title"].alias("title"))
 
 
 _DROP = "html"
@@ -393,9 +409,18 @@ def x2(spark, sf_dir):
 _BASE_ROOT = f"{d.part('url', 1)} || '://' || {d.part('url', 2)}"
 
 
-@query("s14_links", f"SELECT page_id, CAST(min(seq) AS INT) AS seq, link, arg_min(text, seq) AS text FROM (SELECT page_id, seq, {_BASE_ROOT} || trim(h, '\"') AS link, {d.clean('regexp_replace(t, $$<[^>]+>$$, $$ $$, $$g$$)')} AS text FROM (SELECT page_id, url, unnest(range(len(regexp_extract_all(html, {Q(vocab.ANCHOR)}, 1)))) AS seq, unnest(regexp_extract_all(html, {Q(vocab.ANCHOR)}, 1)) AS h, unnest(regexp_extract_all(html, {Q(vocab.ANCHOR)}, 2)) AS t FROM pages)) GROUP BY page_id, link")
+_FRAMED = """CASE WHEN page_id % 3 = 0 THEN concat(html, '<a href="/icon/', page_id, '" title="T ', page_id, '"></a><a href="/img/', page_id, '"><img src="q" alt="I ', page_id,
+    '"></a><!-- <a href="/no">no</a> --><object data="/obj/', page_id, '"></object><embed src="/emb/', page_id, '"><iframe title="F &amp; ', page_id, '" src="/frame/', page_id, '"></iframe><iframe></iframe>') ELSE html END"""
+_ANCHORS = [f"regexp_extract_all(regexp_replace(html, '(?s)<!--.*?-->', ' ', 'g'), {Q(vocab.ANCHOR)}, {k})" for k in (1, 2)]
+_LINKS = f"""SELECT page_id, seq, {_BASE_ROOT} || {_unescaped("trim(h, chr(34))")} AS link, {d.clean(_unescaped("regexp_replace(t, '<[^>]+>', ' ', 'g')"))} AS text
+    FROM (SELECT page_id, url, unnest(range(len({_ANCHORS[0]}))) AS seq, unnest({_ANCHORS[0]}) AS h, unnest({_ANCHORS[1]}) AS t FROM pages)
+    UNION ALL SELECT page_id, len({_ANCHORS[0]}) + k, {_BASE_ROOT} || p || page_id, CASE WHEN t = '' THEN '' ELSE t || page_id END
+    FROM pages, (VALUES (0, '/icon/', 'T '), (1, '/img/', 'I '), (2, '/frame/', 'F & '), (4, '/emb/', ''), (5, '/obj/', '')) v(k, p, t) WHERE page_id % 3 = 0"""
+
+
+@query("s14_links", f"SELECT page_id, CAST(min(seq) AS INT) AS seq, link, arg_min(text, seq) AS text FROM ({_LINKS}) GROUP BY page_id, link")
 def s14(spark, sf_dir):
-    return html.extract_links(_pages(spark, sf_dir), keep=("page_id",)).select("page_id", "seq", "link", "text")
+    return html.extract_links(_pages(spark, sf_dir).withColumn("html", F.expr(_FRAMED)), keep=("page_id",)).select("page_id", "seq", "link", "text")
 
 
 @query("x9_confidence", f"SELECT id, CASE WHEN id % 5 = 3 THEN 0.40 WHEN id % 5 = 4 THEN 0.25 ELSE greatest(0, least(1, CAST(0.45 AS DOUBLE) + CAST(0.20 AS DOUBLE) * s + CAST(CASE WHEN body <> 'n/a' THEN 0.12 ELSE 0.06 END AS DOUBLE) + CAST(CASE WHEN body <> 'n/a' THEN 0.08 ELSE 0 END AS DOUBLE) + CAST(CASE WHEN id % 2 = 0 THEN 0.07 ELSE 0 END AS DOUBLE) + CAST(CASE WHEN id % 3 = 0 THEN 0.08 ELSE 0 END AS DOUBLE) + CAST(CASE WHEN line_default <> 'Unknown' THEN 0.03 ELSE 0 END AS DOUBLE) - CAST(CASE WHEN id % 7 = 0 THEN 0.10 ELSE 0 END AS DOUBLE) - CAST(CASE WHEN id % 11 = 0 THEN 0.10 ELSE 0 END AS DOUBLE))) END AS confidence FROM (SELECT *, CAST({d.doc_type(_STRONG, _WEAK, 'strength')} AS DOUBLE) AS s FROM ({_TITLES_DUCK}))")

@@ -96,6 +96,9 @@ def test_sniffing(spark):
     make = lambda c: sniff.detect_file_type(F.encode(c, "UTF-8"), F.lit("text/html; charset=x"), F.lit("https://h/a.pdf"))
     check(spark, {"plain": "html", "%PDF-": "pdf", "PK\x03\x04": "other"}, make)
     assert values(spark, [b"caf\xe9", "café".encode()], sniff.decode_text, "binary") == ["café", "café"]
+    declared = [(b"caf\xe9", "iso-8859-1", "café"), ("жук".encode("cp1251"), "windows-1251", "жук"), ("łódź".encode("iso8859-2"), "ISO-8859-2", "łódź"), (b"\xd2\xe9", "iso-8859-7", b"\xd2\xe9".decode("cp1252")), ("café".encode(), "gb18030", "café"), (b"\x93q\x94", "cp1252", "“q”"), (b"a", None, "a"), (None, "koi8-r", "")]
+    df = spark.createDataFrame([(k, c, d) for k, (c, d, _) in enumerate(declared)], "k int, c binary, d string")
+    assert [r["t"] for r in df.select("k", sniff.decode_text(df["c"], df["d"]).alias("t")).orderBy("k").collect()] == [t for *_, t in declared]
 
 
 def test_walls_and_gates(spark):

@@ -148,10 +148,32 @@ def test_sitemaps(spark):
 def test_links(spark):
     page = '<a href="/x.pdf">One <b>more</b></a><a href=../y#f title="T"></a><a href="mailto:z">m</a><a href="/x.pdf">again</a>'
     df = spark.createDataFrame([("https://h.org/a/b/c", page)], "url string, html string")
-    assert [(r["link"], r["text"]) for r in html.extract_links(df).orderBy("seq").collect()] == [("https://h.org/x.pdf", "One more"), ("https://h.org/a/y", "")]
+    assert [(r["link"], r["text"]) for r in html.extract_links(df).orderBy("seq").collect()] == [("https://h.org/x.pdf", "One more"), ("https://h.org/a/y", "T")]
     assert [(r["href"], r["text"]) for r in html.parsed_links(df).orderBy("seq").collect()][:2] == [("/x.pdf", "One more"), ("../y#f", "T")]
 
 
+def test_links_beside_anchors(spark):
+    page = '<!-- <a href="/no">n</a> --><a href="/i?a=1&amp;b=2"><img src=q alt="Img"></a><object data="//o.org/d"></object><embed src=/e><iframe title="F" src="/f"></iframe><iframe></iframe><embed src="/f">'
+    df = spark.createDataFrame([("https://h.org/a", page), ("https://h.org/b", None)], "url string, html string")
+    found = [(r["seq"], r["link"], r["text"]) for r in html.extract_links(df).orderBy("seq").collect()]
+    assert found == [(0, "https://h.org/i?a=1&b=2", "Img"), (1, "https://h.org/f", "F"), (3, "https://h.org/e", ""), (5, "https://o.org/d", "")]
+
+
+def test_titles(spark):
+    cases = [
+        ("<h1>A &amp; <b>B</b> title</h1><title>x</title>", "A & B title"),
+        ("<h1>ab</h1><meta content='Og > one' property=\"og:title\"><title>x</title>", "Og > one"),
+        ("<h1>" + "x" * 301 + '</h1><META NAME="dc.title" content=Plain><title>x</title>', "Plain"),
+        ('<meta property="og:title" content="ab"><meta name="title" content="Other one"><title>Named page</title>', "Named page"),
+        ("<!-- <h1>commented</h1> --><script>'<h1>scripted</h1>'</script>", ""),
+        ("", ""),
+        (None, ""),
+    ]
+    df = spark.createDataFrame([(k, p) for k, (p, _) in enumerate(cases)], "k int, p string")
+    got = [r["t"] for r in df.select("k", html.html_title(df["p"]).alias("t")).orderBy("k").collect()]
+    assert [tuple(t) for t in got] == [(t, "css_selector" if t else "") for _, t in cases]
+
+
 def test_templates(spark):
     found = [("P", k, f"https://h/p/{n}.pdf") for k, n in enumerate((10, 11, 14))] + [("P", 9, "https://h/q/77.pdf"), ("Q", 1, "https://h/p/10.pdf")]
     t = enumeration.templates(spark.createDataFrame(found, "payer_name string, seq long, document_url string"))
