@@ -97,15 +97,17 @@ def links(prints: DataFrame, distance: int = DISTANCE, heavy: int = HEAVY) -> Da
     rows = _index(prints).withColumn("sub", F.lit(0).cast("long"))
     if crowded.limit(1).count():
         around = crowded.select("seg", "value", F.explode(F.sequence(F.lit(0), F.lit(32))).alias("bit"))
-        keys = around.select(F.expr("shiftleft(cast(seg as bigint), 40) | shiftleft(cast(bit as bigint), 33) | if(bit = 32, value, value & ~shiftleft(1L, bit))").alias("key")).distinct()
+        # stored, so that Spark knows how many they are before it sends them anywhere
+        keys = stored(around.select(F.expr("shiftleft(cast(seg as bigint), 40) | shiftleft(cast(bit as bigint), 33) | if(bit = 32, value, value & ~shiftleft(1L, bit))").alias("key")).distinct(), "crowded-keys")
         dense = _refined(rows.drop("sub").join(keys, "key", "left_semi")).select(rows.columns)
         rows = rows.join(keys, "key", "left_anti").unionByName(dense)
     rows = rows.drop("seg")
     close = lambda l, r: F.bit_count(F.col(l).bitwiseXOR(F.col(r))) <= distance
+    # the hints: Spark takes an exploded index for as small as its fingerprints, and would broadcast it through the driver
     whole = rows.where("side = 2").drop("side")
-    same = whole.withColumnRenamed("fp", "src").join(whole.withColumnRenamed("fp", "dst"), ["key", "sub"]).where((F.col("src") < F.col("dst")) & close("src", "dst"))
+    same = whole.withColumnRenamed("fp", "src").join(whole.withColumnRenamed("fp", "dst").hint("merge"), ["key", "sub"]).where((F.col("src") < F.col("dst")) & close("src", "dst"))
     zero, one = rows.where("side = 0").drop("side").withColumnRenamed("fp", "src"), rows.where("side = 1").drop("side").withColumnRenamed("fp", "dst")
-    cut = zero.join(one, ["key", "sub"]).where(close("src", "dst"))
+    cut = zero.join(one.hint("merge"), ["key", "sub"]).where(close("src", "dst"))
     return same.select("src", "dst").unionByName(cut.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"))).distinct()
 
 

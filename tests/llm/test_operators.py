@@ -502,6 +502,12 @@ def test_simhash_links_against_all_pairs(spark, heavy):
     assert got == {tuple(sorted((signed(a), signed(b)))) for a, b in itertools.combinations(values, 2) if (a ^ b).bit_count() <= 3}
 
 
+def test_simhash_index_is_never_broadcast(spark):
+    prints = spark.range(200).selectExpr("xxhash64(id) AS fp")
+    plan = op9.links(prints)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 # --- 10 ---------------------------------------------------------------------------------------------------------------
 
 PAGE = (
