@@ -6,7 +6,7 @@ stage's docs.  Rows keep the columns of documents until the last stage, whatever
 columns there are and whatever their names.
 
 language      op 6: drops texts without a language (null, or without a letter)
-near_dedup    op 9: keeps one document of each group of near copies (five-word shingles, similarity 0.8)
+near_dedup    op 9: keeps one document of each component of SimHash fingerprints at most three bits apart
 decontaminate op 1: drops documents that hold a benchmark phrase
 secrets       op 7: replaces secrets by a mark, so no document is lost
 pack          op 2: places all documents in sequences
@@ -30,8 +30,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group, that of the least id (ties: of the least text hash); of repeated rows, and of null or empty texts, one stays."""
-    return op9_simhash.one_of_each(docs)
+    """One document of each component, that of the least id (ties: of the least text hash); of repeated rows, and of null, empty or wordless texts, one stays."""
+    return op9_simhash.one_of_each_component(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -436,22 +436,38 @@ def near_copies(docs: DataFrame, text_col: str = "text", width: int = WORDS, sim
     return connected_components(alike.unionByName(tested(left)), lambda df: stored(df, "links"))
 
 
+def _firsts(docs: DataFrame, roots: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """docs with one row of each root, that of the smallest id; roots: (node, root) for texts by xxhash64, others stand alone."""
+    # a text's least id first, so that copies meet before texts meet their roots
+    named = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("node")).groupBy("node").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "node")).alias("k"))
+    placed = named.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    key = free_name(docs, "near_dedup_key")
+    keepers = placed.groupBy("root").agg(F.min("k").alias("k")).select(F.xxhash64("k.id", "k.node").alias(key))
+    picked = docs.withColumn(key, F.xxhash64(F.col(id_col), F.xxhash64(text_col))).join(keepers, key, "left_semi")
+    return picked.dropDuplicates([key]).select(docs.columns)
+
+
 def one_of_each(docs: DataFrame, width: int = WORDS, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row of each group of near copies, that of the smallest id (of equal ids, of the smallest text hash).
+    """docs with one row of each group of near copies by shingle sets, that of the smallest id (of equal ids, of the smallest text hash).
 
     Defined cases: null texts are copies of one another, and so are empty and wordless
     texts; of repeated rows one stays; a null id stays only where its group has no
     other; very long texts are compared whole; an empty table gives no rows; other
     columns are kept as they are, whatever their names.
     """
-    roots = near_copies(docs, text_col, width, similarity)
-    named = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("node")).distinct()
-    placed = named.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    keepers = placed.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "node")).alias("k"))
-    key = free_name(docs, "near_dedup_key")
-    keepers = keepers.select(F.xxhash64("k.id", "k.node").alias(key))
-    picked = docs.withColumn(key, F.xxhash64(F.col(id_col), F.xxhash64(text_col))).join(keepers, key, "left_semi")
-    return picked.dropDuplicates([key]).select(docs.columns)
+    return _firsts(docs, near_copies(docs, text_col, width, similarity), id_col, text_col)
+
+
+def one_of_each_component(docs: DataFrame, width: int = SHINGLE, distance: int = DISTANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one row of each component of near_duplicates(), that of the smallest id (of equal ids, of the smallest text hash).
+
+    Defined cases: null, empty and wordless texts are copies of one another (fingerprint
+    zero); the others are as for one_of_each().
+    """
+    texts = docs.select(F.xxhash64(text_col).alias("node"), F.col(text_col).alias("text"))
+    found = near_duplicates(texts, "node", "text", width, distance)
+    roots = found.groupBy(F.col("doc_id").alias("node")).agg(F.min("component_fp").alias("root"))
+    return _firsts(docs, roots, id_col, text_col)
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

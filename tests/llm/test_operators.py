@@ -508,6 +508,27 @@ def test_simhash_index_is_never_broadcast(spark):
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
 
 
+def test_near_dedup_keeps_one_of_each_component(spark, rows, odd, none):
+    import corpus_pipeline
+
+    tail = lambda k: " ".join(f"t{k}x{i}" for i in range(8))
+    line = "one line that is said once more "
+    base = [f"b{i}" for i in range(40)]
+    texts = [(i + 100, t) for i, t in rows[:200]] + [(2000 + k, line * 40 + tail(k)) for k in range(6)] + [(3000, " ".join(base)), (3001, " ".join([*base, "more", "words"])), (3002, "!!! ..."), (3003, "!!! ...")]
+    least = {}
+    for i, p in [(i, brute_fingerprint(t)) for i, t in texts]:
+        least[p] = min(least.get(p, math.inf), i)
+    expected = set(brute_components(least).values())
+    assert 2000 in expected and not {2001, 2002, 2003, 2004, 2005} & expected
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, SF).collect()) == sorted(expected)
+    clash = odd.selectExpr("*", "'mine' AS near_dedup_key", "1 AS node", "2 AS root", "3 AS component_fp")
+    kept = corpus_pipeline.near_dedup(spark, clash, SF)
+    assert kept.columns == clash.columns and {r["near_dedup_key"] for r in kept.collect()} == {"mine"}
+    assert sum(r["doc_id"] == 3 for r in kept.collect()) == 2 and sum(r["doc_id"] in (1, 2, 6) for r in kept.collect()) == 1
+    assert corpus_pipeline.near_dedup(spark, none, SF).count() == 0
+
+
 # --- 10 ---------------------------------------------------------------------------------------------------------------
 
 PAGE = (
