@@ -25,19 +25,27 @@ def templates(rows: DataFrame, url_col: str = "document_url", by: str = "payer_n
         F.array_join(F.slice("pieces", F.col("at") + 2, F.size("pieces")), "").alias("suffix"),
         F.col("digits").try_cast("decimal(38,0)").alias("number"),
     )
-    groups = spots.groupBy(by, "prefix", "suffix").agg(F.array_sort(F.collect_set("number")).alias("numbers"), F.min(F.struct("seq", "at")).alias("first")).where(F.size("numbers") >= 3)
+    groups = spots.groupBy(by, "prefix", "suffix").agg(F.sort_array(F.collect_set("number")).alias("numbers"), F.min(F.struct("seq", "at")).alias("first")).where(F.size("numbers") >= 3)
     best = Window.partitionBy(by).orderBy(F.size("numbers").desc(), "first")
     return groups.withColumn("_place", F.row_number().over(best)).where("_place = 1").drop("_place", "first")
 
 
 def candidates(found: DataFrame, budget: int) -> DataFrame:
-    """found (as of templates()) with a row per URL to try: above the range, below it, then the gaps, `budget` at most."""
-    low, high = F.element_at("numbers", 1).cast("long"), F.element_at("numbers", -1).cast("long")
+    """found (as of templates()) with a row per URL to try: above the range, below it, then the gaps, `budget` at most.
+
+    Gaps are differences of neighbours in the sorted numbers, so the work is that of
+    reading the numbers once, however wide their range is.
+    """
+    low, high = F.element_at("numbers", 1), F.element_at("numbers", -1)
     width = high - low
-    span = F.greatest(F.lit(4), F.least(F.lit(budget // 2), F.when(width == 0, F.lit(8)).otherwise(width)))
-    seen = F.transform("numbers", lambda n: n.cast("long"))
-    below_from = F.greatest(F.lit(1), low - span)
-    below = F.when(below_from <= low - 1, F.sequence(below_from, low - 1)).otherwise(F.array().cast("array<bigint>"))
-    wanted = F.slice(F.filter(F.concat(F.sequence(high + 1, high + span), below, F.sequence(low, high)), lambda n: ~F.array_contains(seen, n)), 1, budget)
+    span = F.greatest(F.lit(4), F.least(F.lit(budget // 2), F.when(width == 0, F.lit(8)).otherwise(width))).cast("int")
+    whole = lambda n: n.cast("decimal(38,0)")
+    count = lambda n: F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    under = F.least(span, low - 1).cast("int")
+    edges = F.concat(F.transform(count(span), lambda k: whole(high + k)), F.transform(count(under), lambda k: whole(low - (under + 1 - k))))
+    pairs = F.zip_with("numbers", F.slice("numbers", F.lit(2), F.size("numbers")), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    holes = F.slice(F.filter(pairs, lambda p: p["b"] - p["a"] > 1), 1, budget)
+    gaps = F.flatten(F.transform(holes, lambda p: F.transform(count(F.least(F.lit(budget), p["b"] - p["a"] - 1).cast("int")), lambda k: whole(p["a"] + k))))
+    wanted = F.slice(F.when(F.size(edges) >= budget, edges).otherwise(F.concat(edges, gaps)), 1, budget)
     rows = found.select("*", F.posexplode(wanted).alias("place", "number"))
     return rows.withColumn("url", F.concat("prefix", F.col("number").cast("string"), "suffix"))

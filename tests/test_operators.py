@@ -4,6 +4,7 @@ import gzip
 import random
 import xml.dom.minidom
 import zipfile
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -181,6 +182,27 @@ def test_templates(spark):
     assert [r["number"] for r in enumeration.candidates(t, 20).orderBy("place").collect()] == [15, 16, 17, 18, 6, 7, 8, 9, 12, 13]
 
 
+def tried_numbers(numbers, budget):
+    """What the crawler tries, number by number; gaps are searched no farther than the budget goes."""
+    low, high = numbers[0], numbers[-1]
+    span = max(4, min(budget // 2, (high - low) or 8))
+    wanted = [*range(high + 1, high + 1 + span), *range(max(1, low - span), low)]
+    for a, b in zip(numbers, numbers[1:]):
+        wanted += range(a + 1, min(b, a + 1 + budget))
+    return wanted[:budget]
+
+
+def test_candidates_of_wide_and_many_numbers(spark):
+    cases = {"wide": [2, 3, 5_000_000_000_000], "long": [10**24, 10**24 + 1, 10**24 + 3], "zero": [0, 12, 40, 42], "near": [3, 20, 21, 25], "many": list(range(2, 200_000, 2)), "full": list(range(50, 60)), "three": [1, 2, 4]}
+    found = spark.createDataFrame([(name, f"https://h/{name}/", ".pdf", [Decimal(n) for n in numbers]) for name, numbers in cases.items()], "payer_name string, prefix string, suffix string, numbers array<decimal(38,0)>")
+    for budget in (0, 1, 7, 20):
+        got = {name: [] for name in cases}
+        for r in sorted(enumeration.candidates(found, budget).select("payer_name", "place", "number", "url").collect()):
+            assert r["place"] == len(got[r["payer_name"]]) and r["url"] == f"https://h/{r['payer_name']}/{r['number']}.pdf"
+            got[r["payer_name"]].append(int(r["number"]))
+        assert got == {name: tried_numbers(numbers, budget) for name, numbers in cases.items()}
+
+
 def test_bucket_and_streaks(spark):
     bucket = pacing.Bucket(1.0)
     assert [round(bucket.acquire(t), 3) for t in (0, 0, 0, 5)] == [0, 1, 2, 5]
