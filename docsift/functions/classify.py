@@ -12,6 +12,10 @@ from docsift.functions.urls import path
 # Phrases up to this length are weak evidence and don't count in bodies.
 _WEAK = 8
 
+# A code after a slash and before a slash, hyphen or dot, or between a hyphen or underscore and a dot.
+_CODES = "|".join(c.lower() for c in vocab.USPS_CODES)
+_STATE_CODE = rf"(?<=/)(?:{_CODES})(?=[/\-.])|(?<=[_\-])(?:{_CODES})(?=\.)"
+
 
 def extract_policy_number(text: Column, title: Column, url: Column) -> Column:
     """The first acceptable number of the body's head, the title and the URL, pattern by pattern."""
@@ -59,10 +63,10 @@ def infer_state_or_region(url: Column, title: Column, default: Column) -> Column
     low = F.lower(F.coalesce(url, F.lit("")))
     text = F.lower(F.concat_ws(" ", F.coalesce(title, F.lit("")), F.coalesce(url, F.lit(""))))
     named = [F.when(F.contains(text, F.lit(name)), F.lit(code)) for name, code in vocab.STATE_NAMES]
-    coded = [F.when(low.rlike(f"/{c}/|/{c}-|[/_-]{c}\\.|//{c}\\."), F.lit(c.upper())) for c in sorted(x.lower() for x in vocab.USPS_CODES)]
-    found = F.slice(F.array_distinct(F.filter(F.array(*named, *coded), lambda x: x.isNotNull())), 1, 6)
+    codes = F.upper(F.concat_ws("|", *named, F.sort_array(F.regexp_extract_all(low, F.lit(_STATE_CODE), F.lit(0)))))
+    found = F.array_join(F.slice(F.array_distinct(F.split(codes, r"\|")), 1, 6), "|")
     national = contains_any(text, ("national", "all states"))
-    return F.when(F.size(found) > 0, F.array_join(found, "|")).when(national, F.lit("National")).otherwise(normalise_multi_enum(default, vocab.STATE_OR_REGION))
+    return F.when(found != "", found).when(national, F.lit("National")).otherwise(normalise_multi_enum(default, vocab.STATE_OR_REGION))
 
 
 def score_candidate(url: Column, anchor: Column) -> Column:

@@ -1,5 +1,8 @@
 """Expected-value tables of the scalar functions."""
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,6 +93,26 @@ def test_lines_and_states(spark):
     check(spark, {"https://h/nj/x": "AR|KS|NJ", "https://h/x": "AR|KS"}, state)
 
 
+def states_by_rule(title, url):
+    """Name by name and code by code."""
+    text, low = f"{title} {url}".lower(), url.lower()
+    hits = [c for n, c in vocab.STATE_NAMES if n in text] + [c for c in sorted(vocab.USPS_CODES) if re.search(rf"/{c}/|/{c}-|[/_-]{c}\.|//{c}\.", low, re.I)]
+    return "|".join(list(dict.fromkeys(hits))[:6]) or ("National" if "national" in text or "all states" in text else "PA")
+
+
+def test_states_in_one_reading(spark):
+    draw = random.Random(7)
+    bits = [*"/-_. |", "//", *vocab.USPS_CODES, "nj", "oh", "pa", *(n for n, _ in vocab.STATE_NAMES), "West Virginia", "National", "all states", "x"]
+    pairs = [("".join(draw.choices(bits, k=draw.randrange(4))), "".join(draw.choices(bits, k=draw.randrange(12)))) for _ in range(600)]
+    pairs += [("", "https://nj.x/oh/pa-1/de/de-2_tx.ny./vt/nh/me.x"), ("Guam|x", "/nj/nj/"), ("", "//as./mp-/in_or.")]
+    df = spark.createDataFrame([(k, t, u) for k, (t, u) in enumerate(pairs)], "k int, t string, u string")
+    made = df.select("k", classify.infer_state_or_region(F.col("u"), F.col("t"), F.lit("PA|XX")).alias("s"))
+    assert [r["s"] for r in made.orderBy("k").collect()] == [states_by_rule(t, u) for t, u in pairs]
+    # one pattern for all codes, and no interpreted list of all names and codes
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") <= 4 and "filter(array(" not in plan
+
+
 def test_sniffing(spark):
     cases = {b"%PDF-1.7": "pdf", b"PK\x03\x04xx": "zip", b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1": "ole", b"{\\rtf1": "doc", b"  <?xml version": "xml", b"x <HTML>": "html", b"plain": "", b"": "", None: ""}
     check(spark, cases, sniff.sniff_kind, "binary")
